@@ -30,11 +30,15 @@ _CASTS = {
 
 
 def safe_cast(c: Column, target: str) -> Column:
-    """Cleaned text as ``target``; NULL when blank, malformed or out of range."""
-    text = clean_text(c)
+    """Text as ``target``; NULL when blank, malformed or out of range.
+
+    The text is not cleaned first where it need not be: the patterns allow white space
+    around the value, casts skip it, and blank text has no accepted shape.
+    """
     if target == "text":
-        return text
+        return clean_text(c)
     if target == "jsonb":
+        text = clean_text(c)
         return F.when(is_json_document(text), text)
     shape, spark_type = _CASTS[target]
-    return F.when(text.rlike(shape), text.try_cast(spark_type))
+    return F.when(c.rlike(shape), c.try_cast(spark_type))

@@ -22,14 +22,19 @@ def present(*columns: Column) -> list[Column]:
     return [c.isNotNull() for c in columns]
 
 
-def known_and(c: Column, test: Column) -> Column:
-    """``test`` holds and ``c`` is known: never NULL."""
-    return c.isNotNull() & test
+def holds(test: Column) -> Column:
+    """NULL counts as false.
+
+    A comparison with an unknown value is NULL, so ``holds(x > 0)`` says that ``x`` is
+    known and positive while reading ``x`` once. That matters where ``x`` is a cast that
+    Spark repeats for every mention in a filter.
+    """
+    return F.coalesce(test, F.lit(False))
 
 
-def absent_or(raw: Column, typed: Column, test: Column) -> Column:
-    """An optional field: not given at all, or given and readable and passing ``test``."""
-    return raw.isNull() | known_and(typed, test)
+def absent_or(raw: Column, test: Column) -> Column:
+    """An optional field: not given at all, or readable and passing ``test``."""
+    return raw.isNull() | holds(test)
 
 
 def paired(left: Column, right: Column, pairs: Mapping[str, str]) -> Column:
@@ -42,11 +47,6 @@ def covers(valid_from: Column, valid_to: Column, day: Column) -> Column:
     return (valid_from <= day) & (valid_to.isNull() | (valid_to >= day))
 
 
-def holds(test: Column) -> Column:
-    """NULL counts as false."""
-    return F.coalesce(test, F.lit(False))
-
-
 def first_match(decisions: Sequence[tuple[Column, str]], default: str) -> Column:
     """Value of the first decision whose condition is true."""
     (condition, value), *rest = decisions

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from perkmill.functions.measures import months_before
 
 
-def scalar_max(df: DataFrame, column: str) -> Column:
-    """Greatest value as a scalar subquery: NULL on empty input, no join needed to use it."""
-    return df.agg(F.max(column).alias("greatest")).scalar()
+def greatest_value(df: DataFrame, column: str):
+    """Greatest value of a column, None on empty input. Runs a job."""
+    return df.agg(F.max(column)).first()[0]
 
 
 def pivot_filtered_max(df: DataFrame, name: str, value: str, names: Sequence[str]) -> DataFrame:

@@ -27,11 +27,16 @@ def replace_by_source_file(stored: DataFrame, new: DataFrame, *source_files: str
 
 
 def assign_where(df: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
-    """Set columns on the rows where ``condition`` is true; one pass, no shuffle."""
-    return df.select(*[
-        F.when(condition, assignments[c]).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c)
+    """Set columns on the rows where ``condition`` is true; one pass, no shuffle.
+
+    The condition is a column of its own, so it is worked out once per row however many
+    columns are set.
+    """
+    hit, schema = F.col("__hit"), df.schema
+    return df.withColumn("__hit", condition).select(*[
+        F.when(hit, assignments[c]).otherwise(F.col(c)).cast(schema[c].dataType).alias(c)
         if c in assignments else F.col(c)
-        for c in df.columns
+        for c in schema.names
     ])
 
 

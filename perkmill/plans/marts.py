@@ -11,7 +11,7 @@ from perkmill import vocabulary as V
 from perkmill.functions.measures import month_start, seconds_to_minutes
 from perkmill.functions.rules import first_match
 from perkmill.operators.aggregates import (
-    filtered_counts, pivot_filtered_max, scalar_max, total_or_zero, trailing_counts,
+    filtered_counts, greatest_value, pivot_filtered_max, total_or_zero, trailing_counts,
 )
 from perkmill.operators.asof import versions_at
 from perkmill.operators.joins import left_join_default
@@ -39,8 +39,13 @@ def activity_fact(activities: DataFrame) -> DataFrame:
 
 
 def calculation_date(fact: DataFrame) -> Column:
-    """The day benefits are computed for: the last day with an activity."""
-    return scalar_max(fact, "activity_date")
+    """The day benefits are computed for: the last day with an activity. Runs a job.
+
+    One date goes through the driver and comes back as a literal. Filters on it are then
+    known when the plan is made: they reach the files and skip partitions, and nothing
+    has to be joined with a one-row relation.
+    """
+    return F.lit(greatest_value(fact, "activity_date")).cast("date")
 
 
 def active_parameters(parameters: DataFrame, as_of: Column, names: Sequence[str]) -> DataFrame:
@@ -50,10 +55,10 @@ def active_parameters(parameters: DataFrame, as_of: Column, names: Sequence[str]
     return pivot_filtered_max(newest, "parameter_name", "parameter_value", names)
 
 
-def _as_scalars(one_row: DataFrame) -> dict[str, Column]:
-    """Columns of a one-row relation as values usable in any other relation."""
-    row = one_row.select(F.struct("*").alias("row")).scalar()
-    return {name: row[name] for name in one_row.columns}
+def parameter_values(parameters: DataFrame, as_of: Column, names: Sequence[str]) -> dict[str, Column]:
+    """The parameters in force as literals, NULL where there is none. Runs a job."""
+    row = active_parameters(parameters, as_of, names).first()
+    return {name: F.lit(row[name]).cast(NUMERIC) for name in names}
 
 
 def latest_routes(routes: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def commute_bonus(
 ) -> DataFrame:
     """``mart_commute_bonus_eligibility``: reason and amount for every valid employee."""
     as_of = calculation_date(fact) if as_of is None else as_of
-    values = _as_scalars(active_parameters(parameters, as_of, V.COMMUTE_PARAMETERS))
+    values = parameter_values(parameters, as_of, V.COMMUTE_PARAMETERS)
     people = valid_rows(employees).select(
         "employee_id", "last_name", "first_name", "business_unit", "gross_salary", "commute_mode"
     )
@@ -119,7 +124,7 @@ def wellbeing(
     which the uniqueness audit reports.
     """
     as_of = calculation_date(fact) if as_of is None else as_of
-    values = _as_scalars(active_parameters(parameters, as_of, V.WELLBEING_PARAMETERS))
+    values = parameter_values(parameters, as_of, V.WELLBEING_PARAMETERS)
     people = valid_rows(employees).select("employee_id", "last_name", "first_name", "business_unit")
     counts = trailing_counts(fact, "employee_id", "activity_date", as_of, WINDOW_MONTHS)
     counted = left_join_default(people, counts, "employee_id", {"row_count": 0})

@@ -27,11 +27,12 @@ def stage(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_marts(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All marts as one lazy plan each, nothing stored in between."""
+    """All marts as one plan each, nothing stored in between."""
     fact = marts.activity_fact(staged["stg_sport_activities"])
     people, parameters = staged["stg_hr_employees"], staged["config_benefit_parameters"]
-    commute = marts.commute_bonus(people, staged["stg_google_routes_responses"], parameters, fact)
-    well = marts.wellbeing(people, staged["stg_employee_sport_profile"], parameters, fact)
+    as_of = marts.calculation_date(fact)
+    commute = marts.commute_bonus(people, staged["stg_google_routes_responses"], parameters, fact, as_of)
+    well = marts.wellbeing(people, staged["stg_employee_sport_profile"], parameters, fact, as_of)
     return {
         "fct_sport_activities": fact,
         "mart_commute_bonus_eligibility": commute,
@@ -62,8 +63,7 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
             "fct_sport_activities", marts.activity_fact(staged["stg_sport_activities"]),
             partition_by=["activity_month"],
         )
-        # A plain date: known before planning, so folders outside the window are not listed.
-        as_of = F.lit(fact.agg(F.max("activity_date")).first()[0]).cast("date")
+        as_of = marts.calculation_date(fact)
         recent = fact.filter(
             F.col("activity_month") >= F.trunc(F.add_months(as_of, -marts.WINDOW_MONTHS), "month")
         )

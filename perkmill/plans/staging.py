@@ -8,7 +8,7 @@ from perkmill import vocabulary as V
 from perkmill.functions.jsontext import json_path
 from perkmill.functions.measures import metres_to_km
 from perkmill.functions.casting import safe_cast
-from perkmill.functions.rules import absent_or, holds, known_and, paired, present
+from perkmill.functions.rules import absent_or, holds, paired, present
 from perkmill.operators.projection import Field, type_columns, with_validity
 
 _LINEAGE = (Field("source_file"), Field("source_row_number", "integer"))
@@ -75,8 +75,8 @@ def hr_employees(raw: DataFrame) -> DataFrame:
     rules = [
         *_columns(*_HAS_LINEAGE, "employee_id", "last_name", "first_name", "birth_date", "business_unit",
                   "hire_date", "contract_type", "home_address", "commute_mode"),
-        known_and(salary, salary > 0),
-        known_and(leave, leave >= 0),
+        holds(salary > 0),
+        holds(leave >= 0),
     ]
     return with_validity(type_columns(raw, _HR_FIELDS), rules)
 
@@ -99,10 +99,10 @@ def sport_activities(raw: DataFrame) -> DataFrame:
         "has_valid_source_metadata": in_file & row,
         "has_valid_activity_id": F.col("activity_id").isNotNull(),
         "has_valid_employee_id": F.col("employee_id").isNotNull(),
-        "has_valid_time_range": start.isNotNull() & known_and(end, end > start),
+        "has_valid_time_range": holds(end > start),
         "has_valid_sport_type": F.col("sport_type").isNotNull(),
-        "has_valid_elapsed_seconds": known_and(seconds, seconds > 0),
-        "has_valid_distance": absent_or(F.col("distance_meters_raw"), metres, metres >= 0),
+        "has_valid_elapsed_seconds": holds(seconds > 0),
+        "has_valid_distance": absent_or(F.col("distance_meters_raw"), metres >= 0),
     }
     return with_validity(type_columns(raw, _ACTIVITY_FIELDS), flags.values(), flags=flags)
 
@@ -110,23 +110,27 @@ def sport_activities(raw: DataFrame) -> DataFrame:
 def route_responses(raw: DataFrame) -> DataFrame:
     """``stg_google_routes_responses``: distance and duration read from the stored JSON."""
     document = F.col("response_payload_json")
-    seconds_text = F.regexp_replace(json_path(document, "routes[0].duration"), r"s\z", "")
-    parsed = type_columns(raw, _ROUTE_FIELDS).withColumns({
-        "route_distance_meters": safe_cast(json_path(document, "routes[0].distanceMeters"), "integer"),
-        "route_duration_seconds": safe_cast(seconds_text, "integer"),
+    # A cast mentions its input twice, so the texts are columns first: the JSON is read once.
+    texts = type_columns(raw, _ROUTE_FIELDS).withColumns({
+        "__metres": json_path(document, "routes[0].distanceMeters"),
+        "__seconds": F.regexp_replace(json_path(document, "routes[0].duration"), r"s\z", ""),
     })
+    parsed = texts.withColumns({
+        "route_distance_meters": safe_cast(F.col("__metres"), "integer"),
+        "route_duration_seconds": safe_cast(F.col("__seconds"), "integer"),
+    }).drop("__metres", "__seconds")
     metres, seconds, employee = (
         F.col(c) for c in ("route_distance_meters", "route_duration_seconds", "employee_id")
     )
     rules = [
         *_columns(*_HAS_LINEAGE, "request_key", "home_address", "office_address", "requested_at",
                   "response_payload_json"),
-        known_and(employee, employee > 0),
+        holds(employee > 0),
         # The pairs also say which modes are known at all.
         paired(F.col("declared_commute_mode"), F.col("google_travel_mode"), V.TRAVEL_MODES),
         F.col("response_http_status") == 200,
-        known_and(metres, metres > 0),
-        known_and(seconds, seconds >= 0),
+        holds(metres > 0),
+        holds(seconds >= 0),
     ]
     return with_validity(
         parsed.withColumn("route_distance_km", metres_to_km(metres)), rules, never_null=True
@@ -138,13 +142,8 @@ def benefit_parameters(raw: DataFrame) -> DataFrame:
     value, first, last = F.col("parameter_value"), F.col("valid_from"), F.col("valid_to")
     rules = [
         F.col("parameter_name").isin(*V.PARAMETER_NAMES),
-        known_and(value, value >= 0),
+        holds(value >= 0),
         first.isNotNull(),
         last.isNull() | (last >= first),
     ]
     return with_validity(type_columns(raw, _PARAMETER_FIELDS), rules)
-
-
-def usable(df: DataFrame) -> DataFrame:
-    """Rows usable by the marts, for readers that need the complement too."""
-    return df.filter(holds(F.col("record_is_valid")))

@@ -20,6 +20,9 @@ EXECUTION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot never compiles a method of more than 8,000 bytes. Typing wide text rows makes
+    # such methods; beyond this limit Spark generates smaller ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

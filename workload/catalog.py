@@ -53,6 +53,20 @@ def built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return refresh.build_marts(staged(spark, sf))
 
 
+def commute_mart(spark: SparkSession, sf: str) -> DataFrame:
+    models = staged(spark, sf)
+    return marts.commute_bonus(
+        models["stg_hr_employees"], models["stg_google_routes_responses"], models["config_benefit_parameters"],
+        marts.activity_fact(models["stg_sport_activities"]))
+
+
+def wellbeing_mart(spark: SparkSession, sf: str) -> DataFrame:
+    models = staged(spark, sf)
+    return marts.wellbeing(
+        models["stg_hr_employees"], models["stg_employee_sport_profile"], models["config_benefit_parameters"],
+        marts.activity_fact(models["stg_sport_activities"]))
+
+
 def fact(spark: SparkSession, sf: str) -> DataFrame:
     return marts.activity_fact(staging.sport_activities(standin(spark, sf, "sport_activities_txt")))
 
@@ -327,7 +341,7 @@ def row_counts(spark, sf):
 
 @query
 def commute_eligibility(spark, sf):
-    return portable(built(spark, sf)["mart_commute_bonus_eligibility"])
+    return portable(commute_mart(spark, sf))
 
 
 @query
@@ -340,7 +354,7 @@ def commute_eligibility_without_rate(spark, sf):
 
 @query
 def wellbeing_eligibility(spark, sf):
-    return built(spark, sf)["mart_wellbeing_eligibility"]
+    return wellbeing_mart(spark, sf)
 
 
 @query
@@ -350,12 +364,12 @@ def impact_by_unit(spark, sf):
 
 @query
 def impact_report(spark, sf):
-    return marts.impact_report(built(spark, sf)["mart_commute_bonus_eligibility"])
+    return marts.impact_report(commute_mart(spark, sf))
 
 
 @query
 def state_fingerprint(spark, sf):
-    return reports.state_fingerprint(built(spark, sf)["mart_commute_bonus_eligibility"])
+    return reports.state_fingerprint(commute_mart(spark, sf))
 
 
 @query
@@ -365,12 +379,12 @@ def bonus_by_unit(spark, sf):
 
 @query
 def bonus_beneficiaries(spark, sf):
-    return reports.bonus_beneficiaries(built(spark, sf)["mart_commute_bonus_eligibility"])
+    return reports.bonus_beneficiaries(commute_mart(spark, sf))
 
 
 @query
 def wellbeing_beneficiaries(spark, sf):
-    return reports.wellbeing_beneficiaries(built(spark, sf)["mart_wellbeing_eligibility"])
+    return reports.wellbeing_beneficiaries(wellbeing_mart(spark, sf))
 
 
 @query
@@ -521,7 +535,7 @@ def audit_valid_records(spark, sf):
 
 @query
 def audit_duplicate_profiles(spark, sf):
-    return quality.repeated(built(spark, sf)["mart_wellbeing_eligibility"], "employee_id")
+    return quality.repeated(wellbeing_mart(spark, sf), "employee_id")
 
 
 @query

@@ -182,7 +182,7 @@ def duckdb_sql(name: str) -> str:
 
 
 def spark_sql(name: str) -> str:
-    return _render(STANDINS[name], "({moment} + make_dt_interval(0, 0, 0, {seconds}))")
+    return _render(STANDINS[name], "timestampadd(SECOND, {seconds}, {moment})")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
