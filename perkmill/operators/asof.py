@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill.functions.rules import covers
 from perkmill.operators.ranking import latest_by_key
+from perkmill.session import checkpoint
 
 # Blocks of 2^0 ... 2^21 days: the greatest ones tile the whole calendar up to year 9999.
 _LEVELS = 22
@@ -93,11 +94,11 @@ def as_of_join(
 ) -> DataFrame:
     """Every fact with the value of each name in force on its own ``day``.
 
-    The day table has one narrow row per distinct day. Its size is counted first: up to
-    ``broadcast_days`` rows it is broadcast and the facts stay where they are; beyond
-    that the join is shuffled, and Spark splits the partition of a hot day.
+    The day table has one narrow row per distinct day. It is stored and its rows are
+    counted first: up to ``broadcast_days`` rows it is broadcast and the facts stay where
+    they are; beyond that the join is shuffled, and Spark splits the partition of a hot day.
     """
-    resolved = resolve_by_day(facts, versions, day, name, value, names, order)
-    if broadcast_days and resolved.limit(broadcast_days + 1).count() <= broadcast_days:
+    resolved = checkpoint(resolve_by_day(facts, versions, day, name, value, names, order))
+    if resolved.count() <= broadcast_days:
         resolved = F.broadcast(resolved)
     return facts.join(resolved, day, "left")

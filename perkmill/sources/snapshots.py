@@ -92,8 +92,11 @@ def register_layer(spark: SparkSession, layer: str, paths: Mapping[str, str]) ->
     """Make tables queryable as ``layer.table``, the layer name used exactly as given."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     for table, path in paths.items():
-        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
-        spark.catalog.createTable(f"`{layer}`.`{table}`", path=path, source="parquet")
+        name = f"`{layer}`.`{table}`"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=path, source="parquet")
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
 
 
 def overwrite_source_files(df: DataFrame, path: str) -> None:

@@ -12,6 +12,7 @@ from perkmill.operators import aggregates, asof, joins, quality, ranking, tables
 from perkmill.operators.projection import valid_rows
 from perkmill.plans import announcements, audits, marts, parameters, queue as Q, refresh, reports, routes, staging
 from perkmill.schemas import QUEUE, RAW
+from perkmill.session import checkpoint
 from perkmill.sources.readers import append_responses
 from workload.standins import OFFICE, standin, table
 
@@ -45,8 +46,22 @@ def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {name: standin(spark, sf, name) for name in RAW}
 
 
-def staged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return refresh.stage(raw(spark, sf))
+class _Staged(dict):
+    """Typed relations, each planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        super().__init__()
+        self.inputs = (spark, sf)
+        self.plans = {model: (relation, plan) for model, relation, plan in refresh.STAGING_MODELS}
+
+    def __missing__(self, model: str) -> DataFrame:
+        relation, plan = self.plans[model]
+        self[model] = plan(standin(*self.inputs, relation))
+        return self[model]
+
+
+def staged(spark: SparkSession, sf: str) -> _Staged:
+    return _Staged(spark, sf)
 
 
 def built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -540,8 +555,18 @@ def audit_duplicate_profiles(spark, sf):
 
 @query
 def model_audit_counts(spark, sf):
-    """Failing rows of each of the fifteen audits, one row per audit."""
-    relations = {**staged(spark, sf), **built(spark, sf)}
+    """Failing rows of each of the fifteen audits, one row per audit.
+
+    The marts are stored before they are audited, as in a full run.
+    """
+    relations = staged(spark, sf)
+    marts_built = refresh.build_marts(relations)
+    commute = checkpoint(marts_built["mart_commute_bonus_eligibility"])
+    well = checkpoint(marts_built["mart_wellbeing_eligibility"])
+    relations.update({
+        "mart_commute_bonus_eligibility": commute, "mart_wellbeing_eligibility": well,
+        "mart_benefits_impact_by_business_unit": marts.impact_by_unit(commute, well),
+    })
     parts = []
     for relation in dict.fromkeys(a.relation for a in audits.MODEL_AUDITS):
         checks = [a for a in audits.MODEL_AUDITS if a.relation == relation]

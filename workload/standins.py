@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from perkmill.sources.readers import spread
+
 TABLES = ("customer", "orders", "lineitem", "events", "supplier", "conversations")
 
 OFFICE = "1 Office Square"
@@ -185,13 +187,27 @@ def spark_sql(name: str) -> str:
     return _render(STANDINS[name], "timestampadd(SECOND, {seconds}, {moment})")
 
 
+# Columns of the tables used, so that opening a file needs no job to find its schema.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stand-in as a lazy DataFrame."""
     for t in TABLES:
         if re.search(rf"\bFROM {t}\b", STANDINS[name]):
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
+            spread(table(spark, sf_dir, t)).createOrReplaceTempView(t)
     return spark.sql(spark_sql(name))
