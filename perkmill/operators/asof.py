@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill.functions.rules import covers
+from perkmill.operators.joins import broadcast_up_to
 from perkmill.operators.ranking import latest_by_key
-from perkmill.session import checkpoint
 
 # Blocks of 2^0 ... 2^21 days: the greatest ones tile the whole calendar up to year 9999.
 _LEVELS = 22
@@ -98,7 +98,5 @@ def as_of_join(
     counted first: up to ``broadcast_days`` rows it is broadcast and the facts stay where
     they are; beyond that the join is shuffled, and Spark splits the partition of a hot day.
     """
-    resolved = checkpoint(resolve_by_day(facts, versions, day, name, value, names, order))
-    if resolved.count() <= broadcast_days:
-        resolved = F.broadcast(resolved)
-    return facts.join(resolved, day, "left")
+    resolved = resolve_by_day(facts, versions, day, name, value, names, order)
+    return facts.join(broadcast_up_to(resolved, broadcast_days), day, "left")

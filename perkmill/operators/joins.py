@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from perkmill.session import checkpoint
+
 
 def left_join_default(
     left: DataFrame, right: DataFrame, key: str, defaults: Mapping[str, object] | None = None,
@@ -22,6 +24,16 @@ def left_join_default(
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in (defaults or {}).items()})
 
 
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Store a lookup table and broadcast it if it has at most ``rows`` rows.
+
+    A greater one is returned without a hint: Spark then shuffles both sides and splits
+    skewed partitions.
+    """
+    stored = checkpoint(df)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def missing_from(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not stored; a row without key is never stored."""
     return df.join(stored.select(key).filter(F.col(key).isNotNull()), key, "left_anti")

@@ -60,7 +60,10 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
     people, parameters = staged["stg_hr_employees"], staged["config_benefit_parameters"]
     with Snapshot(spark, f"{root}/marts") as stored, Snapshot(spark, f"{root}/audit") as audit_tables:
         fact = stored.write(
-            "fct_sport_activities", marts.activity_fact(staged["stg_sport_activities"]),
+            "fct_sport_activities",
+            # Rows of a month are brought together, so that it gets few files; a month with
+            # very many rows is split over several tasks.
+            marts.activity_fact(staged["stg_sport_activities"]).hint("rebalance", F.col("activity_month")),
             partition_by=["activity_month"],
         )
         as_of = marts.calculation_date(fact)

@@ -36,13 +36,12 @@ def build_session(master: str | None = None, app_name: str = "perkmill", **setti
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which every executor can reach.
 
     The folder named by the cluster (``spark.checkpoint.dir``) is used as it is. A
     temporary one is made only on a local master, where nothing names a folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -51,4 +50,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="perkmill-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -2,19 +2,23 @@
 
 A row number counts the rows of its own file from 2 on, the header being row 1. A sort
 of the whole file would do; instead rows are numbered inside each block of a file as it
-is read, blocks are counted, and each block starts after the ones before it. Nothing but
-one row per block is shuffled.
+is read, blocks are counted, and each block starts after the ones before it. Only one row
+per block is shuffled, and sent to all tasks while there are not too many of them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from perkmill.operators.joins import broadcast_up_to
 from perkmill.session import checkpoint
 
 _POSITION, _PATH, _BLOCK = "__position", "__path", "__block"
 FIRST_ROW = 2
 
+# At 128 MB a block this is 25 TB of text in one load, and some 40 MB to broadcast.
+BROADCAST_BLOCKS = 200_000
+
 
 def with_block_position(df: DataFrame) -> DataFrame:
     """Remember file, block and reading order; to be called directly on a file scan."""
@@ -42,7 +46,7 @@ def number_rows(df: DataFrame) -> DataFrame:
         _PATH, _BLOCK,
         (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__start") + FIRST_ROW).alias("__shift"),
     )
-    numbered = rows.join(offsets, [_PATH, _BLOCK]).withColumn(
+    numbered = rows.join(broadcast_up_to(offsets, BROADCAST_BLOCKS), [_PATH, _BLOCK]).withColumn(
         "source_row_number", (F.col(_POSITION) + F.col("__shift")).cast("string")
     )
     return numbered.drop(_PATH, _BLOCK, _POSITION, "__shift")

@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from perkmill import vocabulary as V
-from perkmill.functions.text import clean_text
 from perkmill.operators.ranking import earliest_by_key
 from perkmill.operators.joins import missing_from
 from perkmill.schemas import LINEAGE, RAW, SourceSpec
-from perkmill.sources.lineage import number_rows, with_block_position
+from perkmill.sources.lineage import FIRST_ROW, number_rows, with_block_position
 
 
 class HeaderMismatch(ValueError):
@@ -44,7 +43,7 @@ def read_contracted(
     if format == "parquet":
         data = spark.read.parquet(path)
         check_header(data.columns, spec)
-        position = {"source_row_number": (F.col("_metadata.row_index") + 2).cast("string")}
+        position = {"source_row_number": (F.col("_metadata.row_index") + FIRST_ROW).cast("string")}
         data = data.select("*", F.col("_metadata.file_name").alias("source_file"), *[
             c.alias(n) for n, c in position.items()
         ])
@@ -105,7 +104,3 @@ def append_responses(stored: DataFrame, arrived: DataFrame) -> DataFrame:
 def blank_relations(spark: SparkSession) -> Mapping[str, DataFrame]:
     """Every raw relation without rows: the state after a full reset."""
     return {name: spark.createDataFrame([], schema) for name, schema in RAW.items()}
-
-
-def has_text(name: str):
-    return clean_text(F.col(name)).isNotNull()

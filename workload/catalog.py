@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,8 +13,10 @@ from perkmill.operators import aggregates, asof, joins, quality, ranking, tables
 from perkmill.operators.projection import valid_rows
 from perkmill.plans import announcements, audits, marts, parameters, queue as Q, refresh, reports, routes, staging
 from perkmill.schemas import QUEUE, RAW
-from perkmill.session import checkpoint
+from perkmill.session import checkpoint, shared_folder
+from perkmill.sources import readers
 from perkmill.sources.readers import append_responses
+from perkmill.streaming import queue_merge
 from workload.standins import OFFICE, standin, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -407,6 +410,14 @@ def unit_summary(spark, sf):
     return reports.unit_summary(built(spark, sf)["mart_benefits_impact_by_business_unit"])
 
 
+@query
+def full_refresh(spark, sf):
+    """Everything stored layer by layer; the impact mart as read back."""
+    root = f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
+    result = refresh.refresh(spark, raw(spark, sf), root)
+    return result.tables["mart_benefits_impact_by_business_unit"]
+
+
 # -- table changes --------------------------------------------------------------------
 
 @query
@@ -492,6 +503,26 @@ def apply_repaired_links(spark, sf):
     return portable(Q.apply_links(queue(spark, sf), links, now()))
 
 
+@query
+def stream_queue_merge(spark, sf):
+    """All activities arrive as files and are merged into an empty queue, twice."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    arriving, queue_path = f"{root}/arriving", f"{root}/queue"
+    standin(spark, sf, "sport_activities_txt").write.parquet(arriving)
+    queue_merge.create_queue(spark, queue_path)
+    for run in ("first", "replayed"):
+        stream = queue_merge.read_activity_stream(spark, arriving)
+        queue_merge.merge_stream(stream, queue_path, f"{root}/{run}", now()).awaitTermination()
+    return portable(spark.read.schema(QUEUE).parquet(queue_path))
+
+
+@query
+def row_lineage(spark, sf):
+    return table(spark, sf, "orders").select(
+        F.col("_metadata.file_name").alias("source_file"),
+        (F.col("_metadata.row_index") + readers.FIRST_ROW).cast("string").alias("source_row_number"), "o_orderkey")
+
+
 @query
 def route_candidates(spark, sf):
     people, stored = _candidate_inputs(spark, sf)
