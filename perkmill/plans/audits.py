@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame
 from perkmill.operators.quality import Audit, failure_counts, is_true, not_null, unique, valid_records
 from perkmill.sources.snapshots import Snapshot
 
+CONCURRENT_AUDITS = 4
+
 _WELLBEING = "mart_wellbeing_eligibility"
 _COMMUTE = "mart_commute_bonus_eligibility"
 _IMPACT = "mart_benefits_impact_by_business_unit"
@@ -83,10 +86,13 @@ def store_failures(
     that found nothing leave an empty table. A ``warn`` audit never stops the run; an
     ``error`` audit does, once everything is stored.
     """
-    results = [
-        AuditResult(a.name, a.severity, snapshot.write(a.name, a.failures(relations[a.relation])).count())
-        for a in audits
-    ]
+    def store(audit: Audit) -> AuditResult:
+        stored = snapshot.write(audit.name, audit.failures(relations[audit.relation]))
+        return AuditResult(audit.name, audit.severity, stored.count())
+
+    # Most audits are small jobs: a few at a time keep the cluster busy.
+    with ThreadPoolExecutor(CONCURRENT_AUDITS) as pool:
+        results = list(pool.map(store, audits))
     enforce(results)
     return results
 
