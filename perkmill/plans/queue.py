@@ -18,8 +18,11 @@ from perkmill.operators.joins import update_rows
 from perkmill.operators.quality import Audit, is_true, not_null, unique
 from perkmill.operators.ranking import batch_boundary, first_rows
 from perkmill.operators.tables import assign_where, insert_only_merge, rows_to_insert
+from perkmill.plans.audits import enforce, run_audits
 from perkmill.schemas import QUEUE, QUEUE_DEFAULTS, QUEUE_FACT_COLUMNS, QUEUE_REQUIRED
+from perkmill.sources.snapshots import Snapshot
 
+RELATION = "slack_publication_queue"
 _AGE = ("activity_start_datetime", "activity_id")
 
 
@@ -173,7 +176,7 @@ def status_histogram(queue: DataFrame) -> DataFrame:
     return histogram(queue, "publication_status", "activity_count").orderBy("publication_status")
 
 
-def queue_audits(relation: str = "slack_publication_queue") -> list[Audit]:
+def queue_audits(relation: str = RELATION) -> list[Audit]:
     """What a queue snapshot must satisfy before it is stored: violations are errors."""
     statuses = ", ".join(f"'{s}'" for s in V.PUBLICATION_STATUSES)
     return [
@@ -184,6 +187,17 @@ def queue_audits(relation: str = "slack_publication_queue") -> list[Audit]:
     ]
 
 
+def store(queue: DataFrame, root: str) -> DataFrame:
+    """Store a snapshot as the next version of ``root`` and return it as stored.
+
+    It is written and audited first; a snapshot that breaks an invariant stays invisible.
+    """
+    with Snapshot(queue.sparkSession, root) as snapshot:
+        stored = snapshot.write(RELATION, queue)
+        enforce(run_audits({RELATION: stored}, queue_audits()))
+    return stored
+
+
 def publication_gate(queue: DataFrame, activity_id: int) -> None:
     """Refuse to go on unless the activity is pending and no other one is."""
     mine = F.col("activity_id") == activity_id

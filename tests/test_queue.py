@@ -10,6 +10,7 @@ from perkmill import vocabulary as V
 from perkmill.plans import announcements, queue as Q
 from perkmill.plans.audits import AuditFailure, enforce, run_audits
 from perkmill.schemas import QUEUE, RAW
+from perkmill.sources.snapshots import read_table
 from perkmill.streaming import queue_merge
 
 T0 = dt.datetime(2026, 6, 21, 12, 0)
@@ -121,6 +122,15 @@ def test_gate_and_invariants(pending):
         enforce(run_audits({name: broken}, Q.queue_audits()))
 
 
+def test_only_sound_snapshots_become_visible(spark, pending, tmp_path):
+    root = str(tmp_path / "ops")
+    stored = Q.store(pending, root)
+    assert states(stored) == states(pending) and stored.count() == 5
+    with pytest.raises(AuditFailure, match="queue_status_is_known: 5"):
+        Q.store(stored.withColumn("publication_status", F.lit("LOST")), root)
+    assert states(read_table(spark, root, Q.RELATION)) == dict.fromkeys(range(1, 6), V.PENDING)
+
+
 def test_stream_merges_arrivals_once(spark, tmp_path):
     folder, queue_path, state = (str(tmp_path / n) for n in ("arriving", "queue", "state"))
     queue_merge.create_queue(spark, queue_path)
