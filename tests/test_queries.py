@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools import check_oracle
+from workload import catalog, oracle
 
 DATA = "/root/testdata/sf0.001"
 
@@ -20,13 +21,13 @@ def connection():
 
 
 def test_every_query_has_its_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.ORACLE)
 
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_query(spark, connection, name):
     assert check_oracle.compare(spark, connection, DATA, name) == ""
