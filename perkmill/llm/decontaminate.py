@@ -39,18 +39,17 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
         "item_id", "len", F.array_join(F.slice("w", F.col("s"), F.col("len")), " ").alias("window")).distinct()
 
 
-def _starts(length: int, hashes: list[int] | None) -> Column:
-    """Where windows of ``length`` words begin whose hash is wanted; all if ``hashes`` is None."""
-    all_starts = F.sequence(F.lit(1), F.col("n_words") - (length - 1))
-    if hashes is not None:
-        wanted = ",".join(f"{h}L" for h in hashes)
-        all_starts = F.expr(f"filter(sequence(1, n_words - {length - 1}), s -> xxhash64(array_join(slice(w, s, {length}), ' ')) IN ({wanted}))")
-    return F.when(F.col("n_words") >= length, all_starts).otherwise(F.array().cast("array<int>"))
-
-
-def _windows_at(starts: Column, length: int) -> Column:
-    return F.transform(starts, lambda s: F.struct(
-        s.alias("start"), F.lit(length).alias("len"), F.array_join(F.slice("w", s, length), " ").alias("window")))
+def _hits_sql(hashes: dict[int, list[int] | None]) -> str:
+    """SQL of the windows (start, len, window) of words ``w`` whose hash is wanted; all for None."""
+    parts = ["cast(array() as array<struct<start:int,len:int,window:string>>)"]
+    for length, wanted in sorted(hashes.items()):
+        starts = f"sequence(1, size(w) - {length - 1})"
+        if wanted is not None:
+            listed = ",".join(f"{h}L" for h in wanted)
+            starts = f"filter({starts}, s -> xxhash64(array_join(slice(w, s, {length}), ' ')) IN ({listed}))"
+        parts.append(f"if(size(w) >= {length}, transform({starts}, s -> named_struct('start', s, 'len', {length}, "
+                     f"'window', array_join(slice(w, s, {length}), ' '))), {parts[0]})")
+    return f"concat({', '.join(parts)})"
 
 
 def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_windows: int = MOST_WINDOWS) -> DataFrame:
@@ -68,11 +67,11 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_window
         hashes = {length: [] for length in lengths}
         for r in windows.select("len", F.xxhash64("window").alias("h")).distinct().collect():
             hashes[r.len].append(r.h)
-    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), words(F.col("text")).alias("w"))
-    cut = cut.withColumn("n_words", F.size("w"))
-    found = [_windows_at(_starts(length, hashes[length]), length) for length in sorted(lengths)]
-    none = F.expr("cast(array() as array<struct<start:int,len:int,window:string>>)")
-    hits = cut.select("row", "doc_id", F.col("n_words").cast("long").alias("n_words"), F.explode_outer(F.concat(none, *found)).alias("hit"))
+    # The words are bound to a name inside one expression, so every text is cut once.
+    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.array(words(F.col("text"))).alias("cut"))
+    found = F.expr(f"transform(cut, w -> named_struct('n', cast(size(w) as bigint), 'hits', {_hits_sql(hashes)}))[0]")
+    hits = cut.select("row", "doc_id", found.alias("f")).select(
+        "row", "doc_id", F.col("f.n").alias("n_words"), F.explode_outer("f.hits").alias("hit"))
     hits = hits.select("row", "doc_id", "n_words", F.col("hit.start").alias("start"), F.col("hit.window").alias("window"))
     table = F.broadcast(windows) if small else windows
     joined = hits.join(table, "window", "left")
@@ -96,6 +95,11 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
         (n_hit > 0).alias("contaminated"), F.sort_array("item_ids").alias("item_ids"))
 
 
+def _quoted(texts: list[str]) -> str:
+    """SQL literals; words hold neither quotes nor backslashes."""
+    return ",".join(f"'{t}'" for t in texts)
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_windows: int = MOST_WINDOWS) -> DataFrame:
     """``docs`` without the contaminated rows; rows with NULL or empty texts stay.
 
@@ -109,13 +113,16 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_
         by_length: dict[int, list[str]] = {}
         for r in windows.collect():
             by_length.setdefault(r.len, []).append(r.window)
-        rows = docs.withColumn("_w", words(F.col("text"))).withColumn("_n", F.size("_w"))
-        for length, texts in sorted(by_length.items()):
-            wanted = ",".join(f"'{t}'" for t in texts)  # words hold neither quotes nor backslashes
-            rows = rows.where(F.expr(
-                f"not coalesce(if(_n >= {length}, exists(sequence(1, _n - {length - 1}), "
-                f"s -> array_join(slice(_w, s, {length}), ' ') IN ({wanted})), false), false)"))
-        return rows.drop("_w", "_n")
+        if not by_length:
+            return docs
+        rules = " or ".join(
+            f"if(size(w) >= {length}, exists(sequence(1, size(w) - {length - 1}), "
+            f"s -> array_join(slice(w, s, {length}), ' ') IN ({_quoted(texts)})), false)"
+            for length, texts in sorted(by_length.items()))
+        # The words are bound to a name inside one expression: a filter on a column of their own
+        # would be pushed below it and cut the text anew for every window.
+        bound = docs.withColumn("_words", F.array(words(F.col("text"))))
+        return bound.where(F.expr(f"not exists(_words, w -> {rules})")).drop("_words")
     dirty = find_hits(docs, items, size, most_windows).where(F.size("spans") > 0).select(F.col("doc_id").alias("_dirty")).distinct()
     return docs.join(dirty, docs["doc_id"] == F.col("_dirty"), "left_anti")
 

@@ -124,8 +124,8 @@ pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (
   SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
-both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, both.y FROM reach JOIN both ON both.x = reach.b)
+linked AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, linked.y FROM reach JOIN linked ON linked.x = reach.b)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
