@@ -76,28 +76,18 @@ def initial_parameters(spark: SparkSession, source_file: str = "initial_paramete
     return spark.createDataFrame(rows, RAW["benefit_parameters_txt"])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer tasks than there are cores.
-
-    Typing text costs far more than moving it, and a file of one row group is one task
-    whatever its size. A scan with enough tasks, the normal case, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
-
-
 def append_responses(stored: DataFrame, arrived: DataFrame) -> DataFrame:
     """Stored responses plus the arrived ones whose key is new.
 
     Of several arrivals with one key the earliest request is kept. Rows without a key
-    are always appended.
+    are always appended. Columns that the stored responses lack are left out.
     """
     keyed = arrived.filter(F.col("request_key").isNotNull())
     order = ["requested_at", "source_row_number", "employee_id", "response_payload_json"]
     fresh = earliest_by_key(missing_from(keyed, stored, "request_key"), ["request_key"], order)
     return (
         stored.unionByName(fresh.select(*stored.columns))
-        .unionByName(arrived.filter(F.col("request_key").isNull()))
+        .unionByName(arrived.filter(F.col("request_key").isNull()).select(*stored.columns))
     )
 
 

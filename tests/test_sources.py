@@ -116,3 +116,16 @@ def test_route_candidates_and_responses(spark, raw_frame):
     assert readers.append_responses(stored, stored).count() == stored.count()
     nameless = stored.withColumn("request_key", F.lit(None).cast("string"))
     assert readers.append_responses(stored, nameless).count() == 2 * stored.count()
+
+
+def test_arrivals_with_an_extra_column_are_appended(raw_frame):
+    from pyspark.sql import functions as F
+
+    from perkmill.sources.readers import append_responses
+    stored = raw_frame("google_routes_responses_txt", [{"request_key": "a", "requested_at": "2026-01-01"}])
+    arrived = raw_frame("google_routes_responses_txt", [
+        {"request_key": "a", "requested_at": "2026-01-02"}, {"request_key": "b", "requested_at": "2026-01-02"},
+        {"requested_at": "2026-01-03"}]).withColumn("batch", F.lit(7))
+    out = append_responses(stored, arrived)
+    assert out.columns == stored.columns
+    assert sorted(r.request_key or "" for r in out.collect()) == ["", "a", "b"]
