@@ -9,7 +9,8 @@ one bucket. Links are found in two steps:
    of all other components of the bucket. Pairs inside one component are never made: they
    cannot change the result. Buckets of many members (``WIDE``) are split first, by the other
    band keys of their members, so that a very common passage makes no large bucket; the split
-   buckets go through both steps again.
+   buckets go through both steps again. The join makes a pair only where its first common keys
+   meet, so once, however many bands agree.
 
 Sets are compared exactly, as a whole.
 """
@@ -18,13 +19,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkmill.llm.components import connected_components
 from perkmill.llm.tables import Scratch
 
-WIDE = 64
+WIDE = 32
+# No caller asks for less similar sets than this, so sizes further apart need no comparison.
+NEAREST = 80
 
 
 def link_sets(banded: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch) -> DataFrame:
@@ -34,6 +37,8 @@ def link_sets(banded: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     (id, members) for the ids asked for; ``members`` holds no value twice. Two sets are linked
     if 100 * intersection >= percent * union.
     """
+    if percent < NEAREST:
+        raise ValueError("sets that are less similar need more bands")
     keyed = banded.select("id", "n", F.explode("bands").alias("key"))
     buckets = scratch.store(_buckets(keyed, banded))
     sets = scratch.store(sets_of(buckets.select("id").distinct()))
@@ -45,7 +50,10 @@ def link_sets(banded: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
         wide.join(banded, "id").select("bucket", "id", "n", F.explode("bands").alias("band"))
         .where("band <> bucket").select("id", "n", F.xxhash64("bucket", "band").alias("key")), banded))
     narrow = buckets.where(F.col("size") <= WIDE)
-    left = _apart(_labelled(narrow.unionByName(finer), components)).unionByName(_star(finer)).distinct()
+    met = F.array_intersect("x_bands", "bands")
+    one = _apart(_labelled(narrow, components), banded, F.get(met, F.lit(0)) == F.col("key"))
+    two = _apart(_labelled(finer, components), banded, F.xxhash64(F.get(met, F.lit(0)), F.get(met, F.lit(1))) == F.col("key"))
+    left = one.unionByName(two).unionByName(_star(finer)).distinct()
     more = _verified(left, sets, percent)
     links = scratch.store(star.unionByName(more))
     return connected_components(links, scratch)
@@ -68,17 +76,19 @@ def _labelled(buckets: DataFrame, components: DataFrame) -> DataFrame:
         "key", "id", "n", F.coalesce("component", "id").alias("component"))
 
 
-def _apart(members: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, banded: DataFrame, first_meeting: Column) -> DataFrame:
     """Pairs of members of different components; one of each pair is outside the largest."""
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("key").agg(
         F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("n_components")).where("n_components > 1")
-    marked = members.join(largest, "key").select(
-        "key", "id", "n", "component", (F.col("component") == F.col("most.component")).alias("core"))
+    marked = members.join(largest, "key").join(banded.select("id", "bands"), "id").select(
+        "key", "id", "n", "component", "bands", (F.col("component") == F.col("most.component")).alias("core"))
     outside = marked.where("not core").select(
-        "key", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))
-    pairs = outside.join(marked, "key").where(
-        (F.col("c_x") != F.col("component")) & (F.col("core") | (F.col("x") < F.col("id"))))
+        F.col("key").alias("x_key"), F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"),
+        F.col("bands").alias("x_bands"))
+    near_size = 100 * F.least("n_x", "n") >= NEAREST * F.greatest("n_x", "n")
+    pairs = outside.join(marked, (F.col("x_key") == F.col("key")) & (F.col("c_x") != F.col("component"))
+                         & (F.col("core") | (F.col("x") < F.col("id"))) & near_size & first_meeting)
     smaller = F.col("x") < F.col("id")
     return pairs.select(
         F.when(smaller, F.col("x")).otherwise(F.col("id")).alias("a"),
