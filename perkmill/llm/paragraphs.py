@@ -72,8 +72,8 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
     """One row per paragraph that has an equal or near equal elsewhere.
 
     doc_id, paragraph (place of the line in its text, from 0), n_words, first_doc_id and
-    first_paragraph (the one of its component that stays), n_paragraphs and n_docs of the
-    component, removed. Rows with a NULL doc_id or text have no paragraphs; a line that repeats
+    first_paragraph (the one of its component that stays), n_paragraphs of the component,
+    n_docs_about (an estimate of its documents), removed. Rows with a NULL doc_id or text have no paragraphs; a line that repeats
     inside one text counts too. Other columns are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
