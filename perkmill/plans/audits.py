@@ -25,6 +25,7 @@ _COUNTS_AND_AMOUNTS = (
     "employee_with_at_least_one_benefit_count", "employee_with_both_benefits_count",
 )
 
+# Names and rules of the audits.
 MODEL_AUDITS: tuple[Audit, ...] = (
     valid_records("stg_hr_employees_invalid_records", "stg_hr_employees"),
     valid_records("stg_employee_sport_profile_invalid_records", "stg_employee_sport_profile"),

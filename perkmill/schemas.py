@@ -55,7 +55,7 @@ PROFILE_SOURCE = SourceSpec(
 )
 SOURCES = (HR_SOURCE, PROFILE_SOURCE)
 
-# Raw relations: all text, typed only by the staging plans.
+# Columns of the raw relations. All are text, typed only by the staging plans.
 RAW = {
     HR_SOURCE.relation: HR_SOURCE.raw_schema,
     PROFILE_SOURCE.relation: PROFILE_SOURCE.raw_schema,
@@ -75,6 +75,7 @@ RAW = {
     ),
 }
 
+# Columns of the publication queue.
 QUEUE = T.StructType([
     T.StructField("activity_id", T.LongType(), False),
     T.StructField("employee_id", T.IntegerType(), False),
