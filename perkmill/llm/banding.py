@@ -1,64 +1,97 @@
 """From band keys to verified links between sets, without pairing whole buckets.
 
 Input are distinct sets (one row per class of equal sets). Sets that share a band key are in
-one bucket. Links are found in two steps:
+one bucket. Links are found in two rounds:
 
-1. Every member of a bucket is compared with the bucket's smallest id. Verified links give
+1. Every member of a bucket is paired with the bucket's smallest id. Sketches (one byte of
+   each of up to 128 signature values) rule out pairs far below the similarity asked for. Of
+   what remains, every set is compared with the leader most like it. Verified links give
    components.
-2. Members that stand apart from the bucket's largest component are compared with the members
-   of all other components of the bucket. Pairs inside one component are never made: they
-   cannot change the result. Buckets of many members (``WIDE``) are split first, by the other
-   band keys of their members, so that a very common passage makes no large bucket; the split
-   buckets go through both steps again. The join makes a pair only where its first common keys
-   meet, so once, however many bands agree.
-
-Sets are compared exactly, as a whole.
+2. Members that stand apart from the bucket's largest component are paired with the members
+   of all other components of the bucket; sketches rule out again. Pairs inside one component
+   are never made: they cannot change the result. Buckets of many members (``WIDE``) are split
+   first, by the later band keys of their members, so that a very common passage makes no
+   large bucket. The join makes a pair only where its first common keys meet, so once,
+   however many bands agree.
+
+Sketches are off by more than ``MARGIN`` less than once in 200,000 pairs. What they leave is
+compared exactly, by the whole sets of the whole texts. It is texts that are moved to each
+other, since they take less space than the hashes of their words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perkmill.llm import wordhash
 from perkmill.llm.components import connected_components
 from perkmill.llm.tables import Scratch
 
 WIDE = 32
 # No caller asks for less similar sets than this, so sizes further apart need no comparison.
 NEAREST = 80
+SKETCH_BYTES = 128
+MARGIN = 20
 
 
-def link_sets(banded: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, scratch: Scratch) -> DataFrame:
+def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int, shingle_words: int,
+              scratch: Scratch) -> DataFrame:
     """(id, component) of all linked sets.
 
-    ``banded``: id, n (size of the set), bands (array of keys), stored. ``sets_of(ids)`` gives
-    (id, members) for the ids asked for; ``members`` holds no value twice. Two sets are linked
-    if 100 * intersection >= percent * union.
+    ``banded``: id, n (size of the set), bands (array of keys), sketch, stored.
+    ``texts_of(ids)`` gives (id, text) for the ids asked for; a set is the distinct runs of
+    ``shingle_words`` words of its text. Two sets are linked if
+    100 * intersection >= percent * union.
     """
     if percent < NEAREST:
         raise ValueError("sets that are less similar need more bands")
     keyed = banded.select("id", "n", F.explode("bands").alias("key"))
     buckets = scratch.store(_buckets(keyed, banded))
-    sets = scratch.store(sets_of(buckets.select("id").distinct()))
-    star = scratch.store(_verified(_star(buckets), sets, percent))
-    components = scratch.store(connected_components(star, scratch))
-
-    wide = buckets.where(F.col("size") > WIDE).select(F.col("key").alias("bucket"), "id")
-    finer = scratch.store(_buckets(
-        wide.join(banded, "id").select("bucket", "id", "n", F.explode("bands").alias("band"))
-        .where("band <> bucket").select("id", "n", F.xxhash64("bucket", "band").alias("key")), banded))
-    narrow = buckets.where(F.col("size") <= WIDE)
+    sketches = banded.select("id", "sketch")
+    near = scratch.store(_alike(_star(buckets, percent), sketches, percent))
+    ends = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = scratch.store(texts_of(scratch.store(ends)))
+
+    best = scratch.store(near.groupBy("b").agg(
+        F.max_by(F.struct("a", "n_a", "n_b"), F.struct("same", -F.col("a"))).alias("m")).select("m.a", "m.n_a", "b", "m.n_b"))
+    first = scratch.store(_verified(best, texts, percent, shingle_words))
+    components = scratch.store(connected_components(first, scratch))
+
+    mixed = scratch.store(_mixed(buckets.join(components, "id", "left").select(
+        "key", "id", "n", "size", F.coalesce("component", "id").alias("component"))))
+    wide = mixed.where(F.col("size") > WIDE).select(F.col("key").alias("bucket"), "id", "component")
+    spread = wide.join(banded, "id").select("bucket", "id", "n", "component", F.explode(
+        F.slice("bands", F.array_position("bands", F.col("bucket")).cast("int") + 1, F.size("bands"))).alias("band"))
+    finer = scratch.store(spread.select("id", "n", "component", F.xxhash64("bucket", "band").alias("key")))
     met = F.array_intersect("x_bands", "bands")
-    one = _apart(_labelled(narrow, components), banded, F.get(met, F.lit(0)) == F.col("key"))
-    two = _apart(_labelled(finer, components), banded, F.xxhash64(F.get(met, F.lit(0)), F.get(met, F.lit(1))) == F.col("key"))
-    left = one.unionByName(two).unionByName(_star(finer)).distinct()
-    more = _verified(left, sets, percent)
-    links = scratch.store(star.unionByName(more))
+    one = _apart(mixed.where(F.col("size") <= WIDE), banded, percent, F.get(met, F.lit(0)) == F.col("key"))
+    two = _apart(finer, banded, percent, F.xxhash64(F.get(met, F.lit(0)), F.get(met, F.lit(1))) == F.col("key"))
+    met_again = _alike(one.unionByName(two), sketches, percent)
+
+    of = lambda name: components.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
+    others = (near.join(of("a"), "a", "left").join(of("b"), "b", "left")
+              .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
+              .join(best.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = scratch.store(others.unionByName(met_again).select("a", "n_a", "b", "n_b").distinct())
+    missing = scratch.store(rest.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(ends, "id", "left_anti"))
+    more = _verified(rest, texts.unionByName(texts_of(missing)), percent, shingle_words)
+    links = scratch.store(first.unionByName(more))
     return connected_components(links, scratch)
 
 
+def sketches_of(signature: np.ndarray) -> pa.Array:
+    """One byte of each of the first signature values (values x texts), a binary per text."""
+    low = np.ascontiguousarray((wordhash.mix(signature[:SKETCH_BYTES]) >> np.uint64(56)).astype(np.uint8).T)
+    width = low.shape[1]
+    offsets = np.arange(len(low) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(low), [None, pa.py_buffer(offsets), pa.py_buffer(low.tobytes())])
+
+
 def _buckets(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
     """(key, id, n, leader, leader_n, size) of keys that several ids have."""
     groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("leader")).where("size > 1")
@@ -66,17 +99,23 @@ def _buckets(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
     return keyed.join(led, "key").select("key", "id", "n", "leader", "leader_n", "size")
 
 
-def _star(buckets: DataFrame) -> DataFrame:
-    return buckets.where("id <> leader").select(
+def _size_fits(percent: int, n: str, m: str) -> Column:
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _star(buckets: DataFrame, percent: int) -> DataFrame:
+    return buckets.where((F.col("id") != F.col("leader")) & _size_fits(percent, "n", "leader_n")).select(
         F.col("leader").alias("a"), F.col("leader_n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
 
 
-def _labelled(buckets: DataFrame, components: DataFrame) -> DataFrame:
-    return buckets.join(components, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component"))
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
+    return members.join(mixed, "key", "left_semi")
 
 
-def _apart(members: DataFrame, banded: DataFrame, first_meeting: Column) -> DataFrame:
+def _apart(members: DataFrame, banded: DataFrame, percent: int, first_meeting: Column) -> DataFrame:
     """Pairs of members of different components; one of each pair is outside the largest."""
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("key").agg(
@@ -86,9 +125,8 @@ def _apart(members: DataFrame, banded: DataFrame, first_meeting: Column) -> Data
     outside = marked.where("not core").select(
         F.col("key").alias("x_key"), F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"),
         F.col("bands").alias("x_bands"))
-    near_size = 100 * F.least("n_x", "n") >= NEAREST * F.greatest("n_x", "n")
     pairs = outside.join(marked, (F.col("x_key") == F.col("key")) & (F.col("c_x") != F.col("component"))
-                         & (F.col("core") | (F.col("x") < F.col("id"))) & near_size & first_meeting)
+                         & (F.col("core") | (F.col("x") < F.col("id"))) & _size_fits(percent, "n_x", "n") & first_meeting)
     smaller = F.col("x") < F.col("id")
     return pairs.select(
         F.when(smaller, F.col("x")).otherwise(F.col("id")).alias("a"),
@@ -97,12 +135,49 @@ def _apart(members: DataFrame, banded: DataFrame, first_meeting: Column) -> Data
         F.when(smaller, F.col("n")).otherwise(F.col("n_x")).alias("n_b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough; sizes alone rule many out."""
-    possible = pairs.where(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    side = lambda name: sets.select(F.col("id").alias(name), F.col("members").alias(f"set_{name}"))
-    both = possible.join(side("b"), "b").join(side("a"), "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return both.select("a", "b", "n_a", "n_b", shared.alias("shared")).where(
-        100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
+def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches agree well enough, and in how many bytes (``same``)."""
+    side = lambda name: sketches.select(F.col("id").alias(name), F.col("sketch").alias(f"s_{name}"))
+
+    def agreeing(batches):
+        for batch in batches:
+            x, y = (_matrix(batch.column(batch.schema.get_field_index(name))) for name in ("s_a", "s_b"))
+            same = (x == y).sum(axis=1)
+            table = batch.select(["a", "n_a", "b", "n_b"]).append_column("same", pa.array(same.astype(np.int64)))
+            yield table.filter(pa.array(100 * same >= (percent - MARGIN) * x.shape[1]))
+
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(
+        agreeing, "a long, n_a long, b long, n_b long, same long")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), -1 if rows else 1)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle_words: int) -> DataFrame:
+    """Pairs whose full sets are similar enough."""
+    side = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"text_{name}"))
+
+    def sets(column) -> list[np.ndarray]:
+        out = []
+        for _, _, data, offsets in wordhash.chunks(column):
+            members, sizes = wordhash.distinct(*wordhash.shingles(wordhash.Words(data, offsets), shingle_words))
+            out.extend(np.split(members, np.cumsum(sizes)[:-1]))
+        return out
+
+    def compare(batches):
+        for batch in batches:
+            a, text_a, text_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "text_a", "text_b"))
+            if not len(a):
+                continue
+            ids = a.to_numpy()
+            new = np.ones(len(ids), dtype=bool)
+            new[1:] = ids[1:] != ids[:-1]
+            of_a, of_b, run = sets(text_a.take(pa.array(np.flatnonzero(new)))), sets(text_b), np.cumsum(new) - 1
+            shared = np.array([len(np.intersect1d(of_a[k], y, assume_unique=True)) for k, y in zip(run, of_b)])
+            total = np.array([len(of_a[k]) + len(y) for k, y in zip(run, of_b)])
+            linked = 100 * shared >= percent * (total - shared)
+            yield batch.select(["a", "b"]).filter(pa.array(linked))
+
+    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").mapInArrow(compare, "a long, b long")

@@ -2,8 +2,8 @@
 
 Every permutation gives two signature values, its minimum and its maximum over the set, so a
 signature of 120 values takes 60 hash evaluations per shingle. A band holds values of
-different permutations. With 24 bands of 5 values two sets of similarity 0.85 share no band
-with a probability below one in a million.
+different permutations. With 30 bands of 7 values two sets of similarity 0.85 share no band
+with a probability of one in 100,000.
 """
 
 from __future__ import annotations
@@ -14,16 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkmill.llm import wordhash
-from perkmill.llm.banding import link_sets
+from perkmill.llm.banding import link_sets, sketches_of
 from perkmill.llm.tables import Scratch, read_table, small_batches
 
 SHINGLE_WORDS = 5
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 30, 7
 PERCENT = 85
 
 
-def band_keys(values: np.ndarray, counts: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band keys (texts x bands) of min-max signatures over each text's values."""
+def band_keys(values: np.ndarray, counts: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, pa.Array]:
+    """Band keys (texts x bands) and sketches of min-max signatures over each text's values."""
     permutations = (bands * rows + 1) // 2
     scale, shift = wordhash.multipliers(permutations, 11), wordhash.multipliers(permutations, 13)
     signature = np.empty((2 * permutations, len(counts)), dtype=np.uint64)
@@ -36,7 +36,7 @@ def band_keys(values: np.ndarray, counts: np.ndarray, bands: int = BANDS, rows:
     for band in range(bands):
         part = signature[band * rows:(band + 1) * rows]
         keys[:, band] = wordhash.mix((part * weights[:len(part), None]).sum(axis=0) + np.uint64(band))
-    return keys
+    return keys, sketches_of(signature)
 
 
 def set_columns(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,21 +52,12 @@ def _features(batches):
             values, counts = wordhash.shingles(wordhash.Words(data, offsets), SHINGLE_WORDS)
             members, sizes = wordhash.distinct(values, counts)
             sum_a, sum_b = set_columns(members, sizes)
-            keys = band_keys(members, sizes)
+            keys, sketch = band_keys(members, sizes)
             keys = keys[sizes > 0]
             lists = wordhash.list_column(keys.reshape(-1), np.where(sizes > 0, BANDS, 0))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(sum_a.view(np.int64)),
-                 pa.array(sum_b.view(np.int64)), lists], ["doc_id", "n", "sum_a", "sum_b", "bands"])
-
-
-def _sets(batches):
-    for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for first, end, data, offsets in wordhash.chunks(texts):
-            members, sizes = wordhash.distinct(*wordhash.shingles(wordhash.Words(data, offsets), SHINGLE_WORDS))
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(first, end - first), wordhash.list_column(members, sizes)], ["id", "members"])
+                 pa.array(sum_b.view(np.int64)), lists, sketch], ["doc_id", "n", "sum_a", "sum_b", "bands", "sketch"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -83,19 +74,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     scratch = Scratch(spark, "minhash")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     features = scratch.store(text.mapInArrow(
-        _features, "doc_id long, n long, sum_a long, sum_b long, bands array<long>"))
+        _features, "doc_id long, n long, sum_a long, sum_b long, bands array<long>, sketch binary"))
 
     usable = features.where("n > 0 and doc_id is not null")
     classes = scratch.store(usable.groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("id")))
     banded = scratch.store(
         usable.join(classes.select(F.col("id").alias("doc_id"), "n", "sum_a", "sum_b"), ["doc_id", "n", "sum_a", "sum_b"])
-        .select(F.col("doc_id").alias("id"), "n", "bands").dropDuplicates(["id"]))
+        .select(F.col("doc_id").alias("id"), "n", "bands", "sketch").dropDuplicates(["id"]))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        asked = text.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        return asked.mapInArrow(_sets, "id long, members array<long>").dropDuplicates(["id"])
+    def texts_of(ids: DataFrame) -> DataFrame:
+        named = text.withColumnRenamed("doc_id", "id")
+        return named.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
-    linked = link_sets(banded, sets_of, percent, scratch)
+    linked = link_sets(banded, texts_of, percent, SHINGLE_WORDS, scratch)
     owners = scratch.store(
         classes.join(linked, "id", "left").select("n", "sum_a", "sum_b", F.coalesce("component", "id").alias("component_id")))
     keyed = features.select("doc_id", "n", "sum_a", "sum_b")

@@ -25,7 +25,7 @@ PERCENT = 80
 
 
 def _paragraphs(data: np.ndarray, offsets: np.ndarray, min_words: int):
-    """(text index, place in the text, words, set values, set sizes) of long enough lines."""
+    """(text index, place in the text, words, set values, set sizes, first byte, end) of long enough lines."""
     breaks = np.flatnonzero(data == 10)
     edges = np.unique(np.concatenate([offsets, breaks]))
     starts = edges[:-1]
@@ -37,34 +37,35 @@ def _paragraphs(data: np.ndarray, offsets: np.ndarray, min_words: int):
     long_enough = words.counts >= min_words
     values = values[np.repeat(long_enough, counts)]
     members, sizes = wordhash.distinct(values, counts[long_enough])
-    return text[long_enough], place[long_enough], words.counts[long_enough], members, sizes
+    return text[long_enough], place[long_enough], words.counts[long_enough], members, sizes, starts[long_enough], edges[1:][long_enough]
 
 
 def _features(min_words: int):
     def run(batches):
         for batch in batches:
             for first, end, data, offsets in wordhash.chunks(batch.column(1)):
-                text, place, n_words, members, sizes = _paragraphs(data, offsets, min_words)
+                text, place, n_words, members, sizes, _, _ = _paragraphs(data, offsets, min_words)
                 sum_a, sum_b = set_columns(members, sizes)
-                keys = band_keys(members, sizes, BANDS, ROWS)
+                keys, sketch = band_keys(members, sizes, BANDS, ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first).take(pa.array(text)), pa.array(place.astype(np.int64)),
                      pa.array(n_words.astype(np.int64)), pa.array(sizes.astype(np.int64)), pa.array(sum_a.view(np.int64)),
-                     pa.array(sum_b.view(np.int64)), wordhash.list_column(keys.reshape(-1), np.full(len(sizes), BANDS))],
-                    ["doc_id", "paragraph", "n_words", "n", "sum_a", "sum_b", "bands"])
+                     pa.array(sum_b.view(np.int64)), wordhash.list_column(keys.reshape(-1), np.full(len(sizes), BANDS)), sketch],
+                    ["doc_id", "paragraph", "n_words", "n", "sum_a", "sum_b", "bands", "sketch"])
     return run
 
 
-def _sets(min_words: int):
+def _lines(min_words: int):
     def run(batches):
         for batch in batches:
             for first, end, data, offsets in wordhash.chunks(batch.column(1)):
-                text, place, _, members, sizes = _paragraphs(data, offsets, min_words)
+                text, place, _, members, sizes, starts, ends = _paragraphs(data, offsets, min_words)
                 sum_a, sum_b = set_columns(members, sizes)
+                lines = pa.array([data[a:b].tobytes().decode() for a, b in zip(starts, ends)], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first).take(pa.array(text)), pa.array(place.astype(np.int64)),
-                     pa.array(sum_a.view(np.int64)), pa.array(sum_b.view(np.int64)), wordhash.list_column(members, sizes)],
-                    ["doc_id", "paragraph", "sum_a", "sum_b", "members"])
+                     pa.array(sum_a.view(np.int64)), pa.array(sum_b.view(np.int64)), lines],
+                    ["doc_id", "paragraph", "sum_a", "sum_b", "text"])
     return run
 
 
@@ -83,22 +84,22 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # A place in the text names a paragraph only if ids are unique, so rows get numbers as well.
     features = scratch.store(text.mapInArrow(
-        _features(min_words), "doc_id long, paragraph long, n_words long, n long, sum_a long, sum_b long, bands array<long>")
+        _features(min_words), "doc_id long, paragraph long, n_words long, n long, sum_a long, sum_b long, bands array<long>, sketch binary")
         .withColumn("pid", F.monotonically_increasing_id()))
 
     set_key = ["n", "sum_a", "sum_b"]
     classes = scratch.store(features.groupBy(*set_key).agg(F.min("pid").alias("id"), F.count(F.lit(1)).alias("copies")))
     banded = scratch.store(features.join(classes.select(F.col("id").alias("pid")), "pid", "left_semi").select(
-        F.col("pid").alias("id"), "n", "bands"))
+        F.col("pid").alias("id"), "n", "bands", "sketch"))
 
-    def sets_of(ids: DataFrame) -> DataFrame:
+    def texts_of(ids: DataFrame) -> DataFrame:
         asked = features.select("pid", "doc_id", "paragraph", "sum_a", "sum_b").join(ids.withColumnRenamed("id", "pid"), "pid")
         found = text.join(asked.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-            _sets(min_words), "doc_id long, paragraph long, sum_a long, sum_b long, members array<long>")
+            _lines(min_words), "doc_id long, paragraph long, sum_a long, sum_b long, text string")
         return found.join(asked, ["doc_id", "paragraph", "sum_a", "sum_b"]).select(
-            F.col("pid").alias("id"), "members").dropDuplicates(["id"])
+            F.col("pid").alias("id"), "text").dropDuplicates(["id"])
 
-    linked = link_sets(banded, sets_of, percent, scratch)
+    linked = link_sets(banded, texts_of, percent, SHINGLE_WORDS, scratch)
     repeated = scratch.store(
         classes.join(linked, "id", "left").where("copies > 1 or component is not null")
         .select(*set_key, F.coalesce("component", "id").alias("component")))
