@@ -54,11 +54,10 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
     buckets = scratch.store(_buckets(keyed, banded))
     sketches = banded.select("id", "sketch")
     near = scratch.store(_alike(_star(buckets, percent), sketches, percent))
-    ends = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = scratch.store(texts_of(scratch.store(ends)))
-
     best = scratch.store(near.groupBy("b").agg(
         F.max_by(F.struct("a", "n_a", "n_b"), F.struct("same", -F.col("a"))).alias("m")).select("m.a", "m.n_a", "b", "m.n_b"))
+    ends = scratch.store(best.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = scratch.store(texts_of(ends))
     first = scratch.store(_verified(best, texts, percent, shingle_words))
     components = scratch.store(connected_components(first, scratch))
 
@@ -78,7 +77,8 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
               .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
               .join(best.select("a", "b"), ["a", "b"], "left_anti"))
     rest = scratch.store(others.unionByName(met_again).select("a", "n_a", "b", "n_b").distinct())
-    missing = scratch.store(rest.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(ends, "id", "left_anti"))
+    asked = rest.select(F.col("a").alias("id")).distinct().unionByName(rest.select(F.col("b").alias("id")).distinct()).distinct()
+    missing = scratch.store(asked.join(ends, "id", "left_anti"))
     more = _verified(rest, texts.unionByName(texts_of(missing)), percent, shingle_words)
     links = scratch.store(first.unionByName(more))
     return connected_components(links, scratch)
