@@ -23,6 +23,7 @@ ORDER = 3
 # their ids. Contexts of two bytes and more that were seen less often than RARE are left out.
 TEXTS_PER_LANGUAGE = 500
 RARE = 8
+MOST_LANGUAGES = 1000
 UNKNOWN = "und"
 
 
@@ -72,13 +73,19 @@ def _grams(batches):
 def learning_texts(docs: DataFrame, limit: int = TEXTS_PER_LANGUAGE) -> DataFrame:
     """(lang, text): at most ``limit`` rows of each language that are not held out.
 
-    A hash threshold from the row counts thins each language first, so the ranking inside a
-    language sees about twice ``limit`` rows, however common the language is.
+    A hash threshold from the row counts thins each language where it is read, so only about
+    twice ``limit`` rows of a language are moved and ranked, however common it is. The counts
+    are literals of the plan; more than MOST_LANGUAGES languages are an error.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out()).select(
         "doc_id", "lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)).alias("draw"))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    thinned = usable.join(counts, "lang").where(F.col("draw") * F.col("rows") < 2.0 * limit)
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    if not counts:
+        return usable.select("lang", "text")
+    rows = F.create_map(*[F.lit(v) for r in sorted(counts) for v in r])
+    thinned = usable.where(F.col("draw") * F.element_at(rows, F.col("lang")) < 2.0 * limit)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     return thinned.withColumn("rank", rank).where(F.col("rank") <= limit).select("lang", "text")
 
