@@ -9,10 +9,18 @@ one bucket. Links are found in two rounds:
    components.
 2. Members that stand apart from the bucket's largest component are paired with the members
    of all other components of the bucket; sketches rule out again. Pairs inside one component
-   are never made: they cannot change the result. Buckets of many members (``WIDE``) are split
-   first, by the later band keys of their members, so that a very common passage makes no
-   large bucket. The join makes a pair only where its first common keys meet, so once,
-   however many bands agree.
+   are never made: they cannot change the result. The join makes a pair only where its first
+   common keys meet, so once, however many bands agree.
+
+Buckets of more than ``WIDE`` members are not paired but compared with what their members have
+in common. Buckets with the same largest component are one group; its ``common`` set holds the
+values of more than half of ``PROBES`` members. Two members of sizes n_x and n_y, of which
+``inside`` values are common, share at most the smaller ``inside`` besides values outside the
+common set. So they are linked only if they share an outside value, or if both are inside far
+enough for their sizes. Outside values are rare by their making, and an index of them (only the
+first ones in order, as many as a link needs) gives the pairs. Members of the second kind are
+linked to the member most like the common set, as far as they are, and so need no pairs.
+The choice of probes decides how many pairs are made, never which links are found.
 
 Sketches are off by more than ``MARGIN`` less than once in 200,000 pairs. What they leave is
 compared exactly, by the whole sets of the whole texts. It is texts that are moved to each
@@ -24,15 +32,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkmill.llm import wordhash
 from perkmill.llm.components import connected_components
 from perkmill.llm.tables import Scratch
 
-WIDE = 32
+WIDE = 8
+PROBES = 16
+# Bins of sizes for each doubling of the size.
+SIZE_BINS = 128
 # No caller asks for less similar sets than this, so sizes further apart need no comparison.
 NEAREST = 80
 SKETCH_BYTES = 128
@@ -63,22 +75,30 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
 
     mixed = scratch.store(_mixed(buckets.join(components, "id", "left").select(
         "key", "id", "n", "size", F.coalesce("component", "id").alias("component"))))
-    wide = mixed.where(F.col("size") > WIDE).select(F.col("key").alias("bucket"), "id", "component")
-    spread = wide.join(banded, "id").select("bucket", "id", "n", "component", F.explode(
-        F.slice("bands", F.array_position("bands", F.col("bucket")).cast("int") + 1, F.size("bands"))).alias("band"))
-    finer = scratch.store(spread.select("id", "n", "component", F.xxhash64("bucket", "band").alias("key")))
     met = F.array_intersect("x_bands", "bands")
     one = _apart(mixed.where(F.col("size") <= WIDE), banded, percent, F.get(met, F.lit(0)) == F.col("key"))
-    two = _apart(finer, banded, percent, F.xxhash64(F.get(met, F.lit(0)), F.get(met, F.lit(1))) == F.col("key"))
+
+    members = scratch.store(_members(mixed.where(F.col("size") > WIDE)))
+    others = scratch.store(texts_of(scratch.store(members.select("id").distinct().join(ends, "id", "left_anti"))))
+    texts = texts.unionByName(others)
+    placed = scratch.store(_placed(members, texts, percent, shingle_words))
+    central = placed.groupBy("group").agg(F.max_by(F.struct("id", "n"), F.struct("like", -F.col("id"))).alias("most"))
+    to_central = placed.join(central, "group").where((F.col("id") != F.col("most.id")) & _size_fits(percent, "n", "most.n")).select(
+        F.col("most.id").alias("a"), F.col("most.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
+    first = scratch.store(first.unionByName(
+        _verified(_alike(to_central, sketches, percent), texts, percent, shingle_words)).distinct())
+    components = scratch.store(connected_components(first, scratch))
+    two = _unlike(placed, components, central, percent)
     met_again = _alike(one.unionByName(two), sketches, percent)
 
     of = lambda name: components.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
-    others = (near.join(of("a"), "a", "left").join(of("b"), "b", "left")
-              .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
-              .join(best.select("a", "b"), ["a", "b"], "left_anti"))
-    rest = scratch.store(others.unionByName(met_again).select("a", "n_a", "b", "n_b").distinct())
-    asked = rest.select(F.col("a").alias("id")).distinct().unionByName(rest.select(F.col("b").alias("id")).distinct()).distinct()
-    missing = scratch.store(asked.join(ends, "id", "left_anti"))
+    open_pairs = lambda pairs: (
+        pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b"))
+    rest = scratch.store(open_pairs(near.unionByName(met_again).select("a", "n_a", "b", "n_b").distinct()).join(
+        best.select("a", "b"), ["a", "b"], "left_anti"))
+    asked = rest.select(F.col("a").alias("id")).unionByName(rest.select(F.col("b").alias("id"))).distinct()
+    missing = scratch.store(asked.join(texts.select("id"), "id", "left_anti"))
     more = _verified(rest, texts.unionByName(texts_of(missing)), percent, shingle_words)
     links = scratch.store(first.unionByName(more))
     return connected_components(links, scratch)
@@ -135,6 +155,74 @@ def _apart(members: DataFrame, banded: DataFrame, percent: int, first_meeting: C
         F.when(smaller, F.col("n")).otherwise(F.col("n_x")).alias("n_b"))
 
 
+def _members(mixed: DataFrame) -> DataFrame:
+    """(group, id, n): members of buckets, by the largest component of the bucket."""
+    sizes = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("k", "component")).alias("most"))
+    return mixed.join(largest, "key").select(F.col("most.component").alias("group"), "id", "n").distinct()
+
+
+def _placed(members: DataFrame, texts: DataFrame, percent: int, shingle_words: int) -> DataFrame:
+    """``members`` with inside, like (their similarity to the common set) and first values outside of it."""
+    order = Window.partitionBy("group").orderBy(F.xxhash64("id"), "id")
+    probes = members.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= PROBES).select("group", "id")
+
+    def common(pdf: pd.DataFrame) -> pd.DataFrame:
+        values, times = np.unique(np.concatenate(_sets(pa.array(pdf.text, pa.string()), shingle_words)), return_counts=True)
+        held = values[2 * times > len(pdf)]
+        return pd.DataFrame({"group": [pdf.group.iloc[0]], "common": [held.view(np.int64)]})
+
+    shared = probes.join(texts, "id").groupBy("group").applyInPandas(common, "group long, common array<long>")
+
+    def place(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = batch.select(["group", "id", "n"])
+            groups = table.column("group").to_numpy()
+            sets, rows = _sets(batch.column(batch.schema.get_field_index("text")), shingle_words), batch.column(batch.schema.get_field_index("common"))
+            inside, like, outside, held = [], [], [], None
+            for k, x in enumerate(sets):
+                if held is None or groups[k] != groups[k - 1]:
+                    held = rows[k].values.to_numpy().view(np.uint64)
+                known = np.isin(x, held)
+                inside.append(int(known.sum()))
+                like.append(inside[-1] / max(len(x) + len(held) - inside[-1], 1))
+                needed = max(1, -(-percent * len(x) // 100) - inside[-1])
+                new = np.sort(x[~known].view(np.int64))
+                outside.append(new[:max(len(new) - needed + 1, 0)])
+            table = table.append_column("inside", pa.array(inside, pa.int64())).append_column("like", pa.array(like, pa.float64()))
+            yield table.append_column("outside", pa.array(outside, pa.list_(pa.int64())))
+
+    return members.join(texts, "id").join(shared, "group").mapInArrow(
+        place, "group long, id long, n long, inside long, like double, outside array<long>")
+
+
+def _unlike(placed: DataFrame, components: DataFrame, central: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a group, of different components, that may be linked."""
+    core = central.select("group", F.col("most.id").alias("id")).join(components, "id", "left").select(
+        "group", F.coalesce("component", "id").alias("core"))
+    known = placed.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).join(core, "group").select(
+        "group", "id", "n", "inside", "outside", "c", (F.col("c") != F.col("core")).alias("apart"))
+    x = known.where("apart").select("group", *[F.col(k).alias(f"{k}_x") for k in ("id", "n", "inside", "outside", "c")])
+    differ = (F.col("c_x") != F.col("c")) & _size_fits(percent, "n_x", "n")
+    new = x.select("*", F.explode("outside_x").alias("value")).drop("outside_x").join(
+        known.select("group", "id", "n", "c", F.explode("outside").alias("value")), ["group", "value"]).where(differ)
+
+    size_bin = lambda n: F.floor(F.log2(n) * SIZE_BINS)
+    least = F.greatest(F.col("n_x") * percent / 100, F.lit(1.0))
+    most = F.col("inside_x") * (100 + percent) / percent - F.col("n_x")
+    deep = x.where(most >= least).select(
+        "*", F.explode(F.sequence(size_bin(least) - 1, size_bin(most) + 1)).alias("bin")).drop("outside_x").join(
+        known.where(100 * F.col("inside") >= percent * F.col("n")).select("group", "id", "n", "inside", "c", size_bin(F.col("n")).alias("bin")),
+        ["group", "bin"]).where(differ & (
+            (100 + percent) * F.least("inside", "inside_x") >= percent * (F.col("n") + F.col("n_x"))))
+    smaller = F.col("id_x") < F.col("id")
+    side = lambda here, there, name: F.when(smaller, F.col(here)).otherwise(F.col(there)).alias(name)
+    columns = [side("id_x", "id", "a"), side("n_x", "n", "n_a"), side("id", "id_x", "b"), side("n", "n_x", "n_b")]
+    return new.select(*columns).unionByName(deep.select(*columns)).distinct()
+
+
 def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sketches agree well enough, and in how many bytes (``same``)."""
     side = lambda name: sketches.select(F.col("id").alias(name), F.col("sketch").alias(f"s_{name}"))
@@ -155,17 +243,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), -1 if rows else 1)
 
 
+def _sets(column: pa.Array, shingle_words: int) -> list[np.ndarray]:
+    """The distinct values of each text."""
+    out = []
+    for _, _, data, offsets in wordhash.chunks(column):
+        members, sizes = wordhash.distinct(*wordhash.shingles(wordhash.Words(data, offsets), shingle_words))
+        out.extend(np.split(members, np.cumsum(sizes)[:-1]))
+    return out
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle_words: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     side = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"text_{name}"))
 
-    def sets(column) -> list[np.ndarray]:
-        out = []
-        for _, _, data, offsets in wordhash.chunks(column):
-            members, sizes = wordhash.distinct(*wordhash.shingles(wordhash.Words(data, offsets), shingle_words))
-            out.extend(np.split(members, np.cumsum(sizes)[:-1]))
-        return out
-
     def compare(batches):
         for batch in batches:
             a, text_a, text_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "text_a", "text_b"))
@@ -174,7 +264,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle_words: i
             ids = a.to_numpy()
             new = np.ones(len(ids), dtype=bool)
             new[1:] = ids[1:] != ids[:-1]
-            of_a, of_b, run = sets(text_a.take(pa.array(np.flatnonzero(new)))), sets(text_b), np.cumsum(new) - 1
+            of_a, of_b, run = _sets(text_a.take(pa.array(np.flatnonzero(new))), shingle_words), _sets(text_b, shingle_words), np.cumsum(new) - 1
             shared = np.array([len(np.intersect1d(of_a[k], y, assume_unique=True)) for k, y in zip(run, of_b)])
             total = np.array([len(of_a[k]) + len(y) for k, y in zip(run, of_b)])
             linked = 100 * shared >= percent * (total - shared)

@@ -126,6 +126,21 @@ def test_near_duplicates_of_a_crowded_bucket(documents):
     assert {i: c for i, (c,) in found.items()} == components_of(sets, 85)
 
 
+def test_near_duplicates_of_a_spread_group(documents):
+    """Copies of one text with few to many changes, some made from changed copies, some cut short."""
+    rng = random.Random(12)
+    base = " ".join(f"b{k}" for k in range(150))
+    texts = [edited(rng, base, rng.choice([1, 2, 2, 3, 4, 6, 9])) for _ in range(110)]
+    texts += [edited(rng, texts[rng.randrange(110)], rng.choice([1, 2])) for _ in range(30)]
+    texts += [" ".join(t.split()[:rng.randint(120, 149)]) for t in texts[:20]]
+    rng.shuffle(texts)
+    sets = {i: shingle_set(t) for i, t in enumerate(texts)}
+    found = by_id(minhash.near_duplicates(documents(texts)), "component_id")
+    expected = components_of(sets, 85)
+    assert 10 < len(set(expected.values())) < 140
+    assert {i: c for i, (c,) in found.items()} == expected
+
+
 def test_near_duplicates_on_odd_rows(odd, nothing):
     rows = [tuple(r) for r in minhash.near_duplicates(odd).collect()]
     assert len(rows) == odd.count()
