@@ -20,17 +20,30 @@ FIRST_ROW = 2
 BROADCAST_BLOCKS = 200_000
 
 
-def with_block_position(df: DataFrame) -> DataFrame:
-    """Remember file, block and reading order; to be called directly on a file scan."""
+def with_block(df: DataFrame) -> DataFrame:
+    """Remember file and block; to be called directly on a file scan, which may be a stream."""
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias(_PATH),
         F.col("_metadata.file_block_start").alias(_BLOCK),
-        F.monotonically_increasing_id().alias(_POSITION),
     )
 
 
+def has_block(df: DataFrame) -> bool:
+    return _BLOCK in df.columns
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """Remember the reading order, before anything moves the rows."""
+    return df.withColumn(_POSITION, F.monotonically_increasing_id())
+
+
+def with_block_position(df: DataFrame) -> DataFrame:
+    """Remember file, block and reading order; to be called directly on a file scan."""
+    return with_position(with_block(df))
+
+
 def number_rows(df: DataFrame) -> DataFrame:
     """Turn block positions into ``source_row_number`` (text).
 

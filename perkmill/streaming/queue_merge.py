@@ -6,43 +6,84 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perkmill.plans import marts, queue as Q, staging
+from perkmill.plans.audits import enforce, run_audits
 from perkmill.schemas import QUEUE, RAW
+from perkmill.sources.lineage import FIRST_ROW, has_block, number_rows, with_block, with_position
+
+_ARRIVED = RAW["sport_activities_txt"]
+_FOUND_FILE = "__file"
+_FOUND_ROW = "__row"
 
 
 def read_activity_stream(
     spark: SparkSession, folder: str, format: str = "parquet", files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Raw activity files as they arrive, with the fixed schema."""
-    reader = spark.readStream.schema(RAW["sport_activities_txt"]).format(format)
+    """Raw activity files as they arrive, with the fixed schema.
+
+    Where a row was read travels with it, so that files without lineage columns get their
+    lineage when a batch is merged. CSV files hold the other columns only.
+    """
+    columns = _ARRIVED if format != "csv" else _ARRIVED[2:]
+    reader = spark.readStream.schema(columns).format(format)
     if format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    rows = reader.load(folder)
+    if format == "csv":
+        return with_block(rows)
+    return rows.select("*", F.col("_metadata.file_name").alias(_FOUND_FILE), (
+        F.col("_metadata.row_index") + FIRST_ROW).cast("string").alias(_FOUND_ROW))
+
 
+def with_lineage(batch: DataFrame) -> DataFrame:
+    """The batch as raw rows: lineage of its own is kept, missing lineage is filled in.
 
-def append_batch(batch: DataFrame, queue_path: str, now: Column | None = None) -> None:
-    """Append the batch's activities that are not queued yet.
+    A row number counts the rows of its file from 2 on, as in a full load.
+    """
+    if has_block(batch):
+        batch = number_rows(with_position(batch))
+    elif _FOUND_FILE in batch.columns:
+        found = {"source_file": _FOUND_FILE, "source_row_number": _FOUND_ROW}
+        batch = batch.withColumns({name: F.coalesce(F.col(name), F.col(place)) for name, place in found.items()})
+    return batch.select(*_ARRIVED.names)
+
+
+def append_batch(batch: DataFrame, queue_path: str, now: Column | None = None, invalid_path: str | None = None) -> None:
+    """Append the batch's activities that are not queued yet; store those that are not valid.
 
-    Only the key column of the stored queue is read, and only new rows are written. A
-    batch that is replayed after a failure finds its rows stored and adds nothing, so no
-    watermark or state is kept, however late an activity arrives.
+    Only the key column of the stored queue is read, and only new rows are written. They pass
+    the queue's audits first. A batch that is replayed after a failure finds its rows stored
+    and adds nothing, so no watermark or state is kept, however late an activity arrives.
+    Invalid rows are written to ``invalid_path`` (by default beside the queue) as staged rows;
+    a replayed batch writes them again, with the same lineage.
     """
     spark = batch.sparkSession
     stored = spark.read.schema(QUEUE).parquet(queue_path)
-    fact = marts.activity_fact(staging.sport_activities(batch))
-    Q.new_rows(stored, fact, now).write.mode("append").parquet(queue_path)
+    raw = with_lineage(batch)
+    staged = staging.sport_activities(raw)
+    fresh = Q.new_rows(stored, marts.activity_fact(staged), now)
+    enforce(run_audits({Q.RELATION: fresh}, Q.queue_audits()))
+    fresh.write.mode("append").parquet(queue_path)
+    invalid = staged.filter(~F.coalesce(F.col("record_is_valid"), F.lit(False)))
+    invalid.write.mode("append").parquet(invalid_path or invalid_rows_path(queue_path))
+
+
+def invalid_rows_path(queue_path: str) -> str:
+    """Where the invalid rows of a queue's batches are kept."""
+    return f"{queue_path.rstrip('/')}_invalid"
 
 
 def merge_stream(
     raw_stream: DataFrame, queue_path: str, checkpoint_folder: str, now: Column | None = None,
+    invalid_path: str | None = None,
 ) -> StreamingQuery:
     """Merge everything that has arrived, then stop. Run it again for what comes later.
 
     ``queue_path`` must exist; an empty queue will do. No other writer may be active.
     """
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        append_batch(batch, queue_path, now)
+        append_batch(batch, queue_path, now, invalid_path)
 
     return (
         raw_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_folder)

@@ -157,3 +157,18 @@ def test_stream_merges_arrivals_once(spark, tmp_path):
     queue_merge.append_batch(batch, queue_path, at(0))
     assert sorted(r.activity_id for r in spark.read.parquet(queue_path).collect()) == [1, 2, 4, 5]
     assert stored.schema == spark.read.schema(QUEUE).parquet(queue_path).schema
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_stream_numbers_files_without_lineage(spark, tmp_path, format):
+    folder, queue_path, state = (str(tmp_path / n) for n in ("arriving", "queue", "state"))
+    queue_merge.create_queue(spark, queue_path)
+    rows = [(str(i), "7", "2026-06-21 18:30:00", "Tennis", "", "2026-06-21 19:00:00",
+             "0" if i == 3 else "1800", None, "s") for i in range(1, 6)]
+    files = spark.createDataFrame(rows, RAW["sport_activities_txt"][2:]).coalesce(1)
+    files.write.format(format).option("header", True).save(folder)
+    queue_merge.merge_stream(
+        queue_merge.read_activity_stream(spark, folder, format), queue_path, state, at(0)).awaitTermination()
+    assert sorted(r.activity_id for r in spark.read.parquet(queue_path).collect()) == [1, 2, 4, 5]
+    invalid = spark.read.parquet(queue_merge.invalid_rows_path(queue_path)).collect()
+    assert [(r.activity_id, r.source_row_number, bool(r.source_file)) for r in invalid] == [(3, 4, True)]
