@@ -508,7 +508,7 @@ def stream_queue_merge(spark, sf):
     """All activities arrive as files and are merged into an empty queue, twice."""
     root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     arriving, queue_path = f"{root}/arriving", f"{root}/queue"
-    standin(spark, sf, "sport_activities_txt").write.parquet(arriving)
+    standin(spark, sf, "sport_activities_txt").drop("source_file", "source_row_number").write.parquet(arriving)
     queue_merge.create_queue(spark, queue_path)
     for run in ("first", "replayed"):
         stream = queue_merge.read_activity_stream(spark, arriving)
