@@ -166,6 +166,42 @@ def test_paragraphs_on_odd_rows(odd, nothing):
     assert paragraphs.without_repeats(odd).count() == odd.count()
 
 
+def test_passages_inside_and_across_lines(documents):
+    rng = random.Random(21)
+    own = lambda n: [f"{rng.random():.9f}" for _ in range(n)]
+    inside, across, short = own(63), own(64), own(20)
+    lines = lambda w, *sizes: "\n".join(" ".join(w[sum(sizes[:k]):sum(sizes[:k + 1])]) for k in range(len(sizes)))
+    texts = [" ".join(own(40) + inside + own(55)), lines(across, 7, 25, 25, 3, 4), " ".join(own(20) + inside + own(50)) + "\nend",
+             lines(own(9) + across + own(9), 5, 20, 20, 20, 17), " ".join(short + own(40)), " ".join(own(40) + short), " ".join(own(30) * 3)]
+    w = [words_of(t) for t in texts]
+    found = {(r.doc_id, r.start_word, r.n_words, r.first_doc_id, r.first_word, r.n_docs, r.removed)
+             for r in paragraphs.repeated_passages(documents(texts)).collect()}
+    assert found == {(0, 40, 63, 0, 40, 2, False), (2, 20, 63, 0, 40, 2, True), (1, 0, 64, 1, 0, 2, False), (3, 9, 64, 1, 0, 2, True)}
+    left = by_id(paragraphs.without_repeats(documents(texts)), "text")
+    assert words_of(left[2][0]) == w[2][:20] + w[2][83:] and words_of(left[3][0]) == w[3][:9] + w[3][73:]
+    assert all(left[k][0] == texts[k] for k in (0, 1, 4, 5, 6))
+
+
+def test_passages_match_all_windows(documents):
+    rng = random.Random(22)
+    base = [f"{rng.random():.6f}" for _ in range(300)]
+    texts = []
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            a = rng.randrange(260)
+            parts += base[a:a + rng.randint(5, 60)] + [rng.choice("abcd")] * rng.randint(0, 30)
+        texts.append("".join(x + rng.choice(" \n") for x in parts))
+    held = {}
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        for s in range(len(w) - 20):
+            held.setdefault(tuple(w[s:s + 21]), set()).add((i, s))
+    expected = {p for places in held.values() if len({i for i, _ in places}) > 1 for p in places}
+    rows = paragraphs.repeated_passages(documents(texts)).collect()
+    assert {(r.doc_id, r.start_word + k) for r in rows for k in range(r.n_words - 20)} == expected
+
+
 def test_vectors_match_all_pairs(spark):
     rng = np.random.default_rng(1)
     centre = rng.standard_normal((30, 16))
