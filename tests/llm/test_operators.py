@@ -226,6 +226,29 @@ def test_vectors_match_all_pairs(spark):
     assert found == {i: (int(near[i].sum()), component[i], component[i] == i) for i in range(180)}
 
 
+def test_vectors_of_a_dense_topic(spark):
+    """20,000 vectors at cosine 0.9 to each other, below the threshold, and 200 planted pairs."""
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(unit(rng.standard_normal(64)) + unit(rng.standard_normal((20_000, 64))) / 3)
+    step = rng.standard_normal((200, 64))
+    step = unit(step - (step * x[:200]).sum(axis=1)[:, None] * x[:200])
+    x[200:400] = 0.981 * x[:200] + math.sqrt(1 - 0.981 ** 2) * step
+    x = x.astype(np.float32)
+    frame = spark.createDataFrame(((i, v.tolist(), 1) for i, v in enumerate(x)), "vec_id long, embedding array<float>, label int")
+    found = by_id(vectors.link_vectors(frame), "n_links", "component_id", key="vec_id")
+    y = unit(x.astype(np.float64))
+    near = y @ y.T >= 0.98
+    np.fill_diagonal(near, False)
+    root = np.arange(len(x))
+    while True:
+        new = np.array([min(root[i], *root[near[i]]) if near[i].any() else root[i] for i in range(len(x))])
+        if (new == root).all():
+            break
+        root = new
+    assert found == {i: (int(near[i].sum()), int(root[i])) for i in range(len(x))}
+
+
 def test_vectors_that_cannot_be_compared(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1),
             (7, [1.0, None], 1), (8, [math.nan, 1.0], 1), (9, [math.inf, 1.0], 1), (10, [], 1), (11, [1.0], 1), (None, [1.0, 0.0], 1), (12, [1.0, 0.0], 1)]
