@@ -104,8 +104,8 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_
     """``docs`` without the contaminated rows; rows with NULL or empty texts stay.
 
     While the benchmark is small enough for the set, the words of every window are looked up in
-    the row itself and nothing is shuffled. Beyond that, a doc_id goes if any of its rows is
-    contaminated, and rows without a doc_id cannot be named and stay.
+    the row itself and nothing is shuffled. Beyond that, rows are stored with a number each and
+    judged by it, whatever their doc_id, so both ways give the same rows.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
     windows = scratch.store(item_windows(items, size).select("len", "window").distinct())
@@ -123,8 +123,10 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_
         # would be pushed below it and cut the text anew for every window.
         bound = docs.withColumn("_words", F.array(words(F.col("text"))))
         return bound.where(F.expr(f"not exists(_words, w -> {rules})")).drop("_words")
-    dirty = find_hits(docs, items, size, most_windows).where(F.size("spans") > 0).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"] == F.col("_dirty"), "left_anti")
+    numbered = scratch.store(docs.withColumn("_number", F.monotonically_increasing_id()))
+    rows = numbered.select(F.col("_number").alias("doc_id"), "text")
+    dirty = find_hits(rows, items, size, most_windows).where(F.size("spans") > 0).select(F.col("doc_id").alias("_number"))
+    return numbered.join(dirty, "_number", "left_anti").select(*docs.columns)
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
