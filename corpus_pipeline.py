@@ -26,13 +26,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, and one row of each doc_id.
+    """One row of each group of near duplicate texts; different texts under one doc_id all stay.
 
     Rows without a doc_id cannot be told apart and all stay.
     """
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn(
-        "_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id")))
+    kept = minhash.kept_rows(docs).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_text"))
+    hashed = docs.where("doc_id is not null").withColumn("_hash", minhash.text_hash())
+    copies = Window.partitionBy("doc_id", "_hash").orderBy("lang", "source", "n_chars")
+    named = hashed.join(kept, (F.col("doc_id") == F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left_semi").withColumn(
+        "_row", F.row_number().over(copies))
     return named.where("_row = 1").select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkmill.llm import wordhash
 from perkmill.llm.banding import link_sets, sketches_of
+from perkmill.llm.components import connected_components
 from perkmill.llm.tables import Scratch, read_table, small_batches
 
 SHINGLE_WORDS = 5
@@ -47,7 +48,7 @@ def set_columns(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 
 def _features(batches):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, texts, rows = batch.column(0), batch.column(1), batch.column(2)
         for first, end, data, offsets in wordhash.chunks(texts):
             values, counts = wordhash.shingles(wordhash.Words(data, offsets), SHINGLE_WORDS)
             members, sizes = wordhash.distinct(values, counts)
@@ -56,41 +57,68 @@ def _features(batches):
             keys = keys[sizes > 0]
             lists = wordhash.list_column(keys.reshape(-1), np.where(sizes > 0, BANDS, 0))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(sum_a.view(np.int64)),
-                 pa.array(sum_b.view(np.int64)), lists, sketch], ["doc_id", "n", "sum_a", "sum_b", "bands", "sketch"])
+                [ids.slice(first, end - first), rows.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(sum_a.view(np.int64)),
+                 pa.array(sum_b.view(np.int64)), lists, sketch], ["doc_id", "row", "n", "sum_a", "sum_b", "bands", "sketch"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text, ...).
+SET = ["n", "sum_a", "sum_b"]
 
-    Texts that are NULL, empty or without words have an empty set and link with nothing.
-    Equal sets are one class and enter the search once, so copies are never paired. A NULL
-    doc_id links with nothing, has a NULL component and is kept. Rows that share a doc_id are
-    one document; if their texts differ, the components of all of them are one. Other columns
-    are ignored, whatever their names. An empty table gives an empty result.
+
+def text_hash() -> Column:
+    """Tells rows of one doc_id apart by their texts."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _linked_classes(docs: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Features of all rows, and (n, sum_a, sum_b, id, doc_id, component) per class of equal sets.
+
+    A class is named by the number of one of its rows, so texts under one doc_id stay apart;
+    doc_id is its smallest.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch = Scratch(spark, "minhash")
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("row"))
     features = scratch.store(text.mapInArrow(
-        _features, "doc_id long, n long, sum_a long, sum_b long, bands array<long>, sketch binary"))
+        _features, "doc_id long, row long, n long, sum_a long, sum_b long, bands array<long>, sketch binary")
+        .withColumn("id", F.monotonically_increasing_id()))
 
     usable = features.where("n > 0 and doc_id is not null")
-    classes = scratch.store(usable.groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("id")))
-    banded = scratch.store(
-        usable.join(classes.select(F.col("id").alias("doc_id"), "n", "sum_a", "sum_b"), ["doc_id", "n", "sum_a", "sum_b"])
-        .select(F.col("doc_id").alias("id"), "n", "bands", "sketch").dropDuplicates(["id"]))
+    classes = scratch.store(usable.groupBy(*SET).agg(F.min(F.struct("doc_id", "id", "row")).alias("least")).select(*SET, "least.*"))
+    banded = scratch.store(usable.join(classes.select("id"), "id", "left_semi").select("id", "n", "bands", "sketch"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        named = text.withColumnRenamed("doc_id", "id")
-        return named.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        asked = classes.select("id", "doc_id", "row").join(ids, "id", "left_semi")
+        return text.join(asked, ["doc_id", "row"]).select("id", "text").dropDuplicates(["id"])
 
     linked = link_sets(banded, texts_of, percent, SHINGLE_WORDS, scratch)
-    owners = scratch.store(
-        classes.join(linked, "id", "left").select("n", "sum_a", "sum_b", F.coalesce("component", "id").alias("component_id")))
-    keyed = features.select("doc_id", "n", "sum_a", "sum_b")
-    found = keyed.join(owners, ["n", "sum_a", "sum_b"], "left")
+    return features, scratch.store(
+        classes.join(linked, "id", "left").select(*SET, "id", "doc_id", F.coalesce("component", "id").alias("component")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text, ...).
+
+    Texts that are NULL, empty or without words have an empty set and link with nothing.
+    Equal sets are one class and enter the search once, so copies are never paired. A NULL
+    doc_id links with nothing, has a NULL component and is kept. Rows that share a doc_id are
+    one document; if their texts differ, the components of all of them are one. Other columns
+    are ignored, whatever their names. An empty table gives an empty result.
+    """
+    small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "minhash")
+    features, classes = _linked_classes(docs, percent, scratch)
+    whole = F.struct(*SET)
+    several = scratch.store(features.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min(whole).alias("low"), F.max(whole).alias("high")).where("low < high").select("doc_id"))
+    if not several.isEmpty():
+        own = scratch.store(features.where("n > 0").join(several, "doc_id").select("doc_id", *SET).distinct().join(
+            classes.select(*SET, "component"), SET))
+        firsts = own.groupBy("doc_id").agg(F.min("component").alias("a"))
+        edges = own.join(firsts, "doc_id").select("a", F.col("component").alias("b")).where("a <> b").distinct()
+        united = connected_components(scratch.store(edges), scratch).withColumnRenamed("component", "united")
+        classes = scratch.store(classes.join(united.withColumnRenamed("id", "component"), "component", "left").withColumn(
+            "component", F.coalesce("united", "component")).drop("united"))
+    names = classes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    owners = scratch.store(classes.join(names, "component").select(*SET, "component_id"))
+    found = features.select("doc_id", *SET).join(owners, SET, "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -98,6 +126,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def kept_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, row) of one row of each component of texts, whatever their ids; ``row`` is :func:`text_hash`.
+
+    Texts without words are kept once under each id. Rows without a doc_id are not named.
+    """
+    small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "minhash")
+    features, classes = _linked_classes(docs, percent, scratch)
+    chosen = classes.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("least")).select("least.id")
+    wordless = features.where("n = 0 and doc_id is not null").select("doc_id", "row").distinct()
+    return features.join(chosen, "id", "left_semi").select("doc_id", "row").unionByName(wordless)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 

@@ -149,6 +149,18 @@ def test_near_duplicates_on_odd_rows(odd, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    """Two texts under id 5, each with a near copy of its own: ids are united, no text is lost."""
+    import corpus_pipeline as pipeline
+    one, two, three = (" ".join(f"{name}{k}" for k in range(80)) for name in "abc")
+    rows = [(5, one), (5, two), (7, one + " end"), (8, two + " end"), (9, three), (5, one), (3, "!"), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0.0, "") for i, t in rows], DOCS)
+    found = by_id(minhash.near_duplicates(docs), "component_id", "kept")
+    assert found == {5: (5, True), 7: (5, False), 8: (5, False), 9: (9, True), 3: (3, True)}
+    left = sorted((r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert left == sorted([(5, one), (5, two), (9, three), (3, "!"), (3, "")])
+
+
 def test_paragraphs_match_all_pairs(documents):
     rng = random.Random(5)
     lines = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 5) + str(rng.randint(0, 99)) for _ in range(60)) for _ in range(12)]
