@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from perkmill.functions.casting import safe_cast
 from perkmill.functions.rules import all_of
@@ -22,7 +22,7 @@ class Field:
     """
 
     name: str
-    target: str = "text"
+    target: str | T.DecimalType = "text"
     label: bool = False
     alias: str | None = None
     raw_name: str | None = None

@@ -43,6 +43,11 @@ def _row_audit(name: str, relation: str, test: Callable[[], Column], severity: s
     return Audit(name, relation, lambda df: failing(df, test()), test, severity)
 
 
+def row_rule(name: str, relation: str, test: Callable[[], Column], severity: str = "warn") -> Audit:
+    """A rule that is written as a column."""
+    return _row_audit(name, relation, test, severity)
+
+
 def valid_records(name: str, relation: str, severity: str = "warn") -> Audit:
     return _row_audit(name, relation, lambda: F.col("record_is_valid"), severity)
 

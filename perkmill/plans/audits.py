@@ -7,9 +7,12 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from perkmill.operators.quality import Audit, failure_counts, is_true, not_null, unique, valid_records
+from perkmill.functions.casting import keeps_number
+from perkmill.operators.quality import Audit, failure_counts, is_true, not_null, row_rule, unique, valid_records
+from perkmill.plans.marts import bonus_amount
+from perkmill.schemas import AMOUNT, RATE
 from perkmill.sources.snapshots import Snapshot
 
 CONCURRENT_AUDITS = 4
@@ -42,8 +45,8 @@ MODEL_AUDITS: tuple[Audit, ...] = (
     not_null("mart_commute_bonus_employee_id_not_null", _COMMUTE, "employee_id"),
     is_true("mart_commute_bonus_flag_matches_reason", _COMMUTE,
             "is_commute_bonus_eligible = (eligibility_reason = 'ELIGIBLE')"),
-    is_true("mart_commute_bonus_amount_matches_eligibility", _COMMUTE,
-            "annual_commute_bonus_gross = if(is_commute_bonus_eligible, round(gross_salary * bonus_rate, 2), 0)"),
+    row_rule("mart_commute_bonus_amount_matches_eligibility", _COMMUTE, lambda: F.col("annual_commute_bonus_gross") == F.when(
+        F.col("is_commute_bonus_eligible"), bonus_amount(F.col("gross_salary"), F.col("bonus_rate"))).otherwise(0)),
     is_true("mart_commute_bonus_eligible_employee_has_valid_route", _COMMUTE,
             "not is_commute_bonus_eligible or (is_active_commute_declared and has_valid_route"
             " and route_distance_km <= maximum_authorized_distance_km)"),
@@ -55,6 +58,18 @@ MODEL_AUDITS: tuple[Audit, ...] = (
 )
 
 
+def _numbers_kept(relation: str, column: str, kept_as: T.DecimalType) -> Audit:
+    return row_rule(f"{relation}_numbers_kept", relation, lambda: keeps_number(F.col(f"{column}_raw"), kept_as))
+
+
+# Numbers that 38 digits cannot hold: rounded if they have too many decimals, NULL if they are too great.
+RANGE_AUDITS: tuple[Audit, ...] = (
+    _numbers_kept("stg_hr_employees", "gross_salary", AMOUNT),
+    _numbers_kept("stg_sport_activities", "distance_meters", AMOUNT),
+    _numbers_kept("config_benefit_parameters", "parameter_value", RATE),
+)
+
+
 @dataclass(frozen=True)
 class AuditResult:
     name: str

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill import vocabulary as V
-from perkmill.functions.measures import month_start, seconds_to_minutes
+from perkmill.functions.measures import exact_product, month_start, seconds_to_minutes
 from perkmill.functions.rules import first_match
 from perkmill.operators.aggregates import (
     filtered_counts, greatest_value, pivot_filtered_max, total_or_zero, trailing_counts,
@@ -17,7 +17,7 @@ from perkmill.operators.asof import versions_at
 from perkmill.operators.joins import left_join_default
 from perkmill.operators.projection import valid_rows
 from perkmill.operators.ranking import latest_by_key
-from perkmill.schemas import MONEY, NUMERIC
+from perkmill.schemas import AMOUNT, MONEY, RATE, WHOLE
 
 # The last column is an added tie-break: it makes equal versions resolve the same way each run.
 PARAMETER_ORDER = ("valid_from", "source_row_number", "source_file")
@@ -58,7 +58,7 @@ def active_parameters(parameters: DataFrame, as_of: Column, names: Sequence[str]
 def parameter_values(parameters: DataFrame, as_of: Column, names: Sequence[str]) -> dict[str, Column]:
     """The parameters in force as literals, NULL where there is none. Runs a job."""
     row = active_parameters(parameters, as_of, names).first()
-    return {name: F.lit(row[name]).cast(NUMERIC) for name in names}
+    return {name: F.lit(row[name]).cast(RATE) for name in names}
 
 
 def latest_routes(routes: DataFrame) -> DataFrame:
@@ -69,6 +69,11 @@ def latest_routes(routes: DataFrame) -> DataFrame:
     )
 
 
+def bonus_amount(salary: Column, rate: Column) -> Column:
+    """Salary times rate in cents, rounded once."""
+    return exact_product(salary, AMOUNT, rate, RATE, MONEY.scale)
+
+
 def commute_bonus(
     employees: DataFrame, routes: DataFrame, parameters: DataFrame, fact: DataFrame,
     as_of: Column | None = None,
@@ -101,7 +106,7 @@ def commute_bonus(
         default=V.ELIGIBLE,
     )
     eligible = F.col("eligibility_reason") == V.ELIGIBLE
-    bonus = F.round(F.col("gross_salary") * F.col(V.BONUS_RATE), 2)
+    bonus = bonus_amount(F.col("gross_salary"), F.col(V.BONUS_RATE))
     return base.withColumn("eligibility_reason", reason).select(
         "employee_id", "last_name", "first_name", "business_unit", "gross_salary", "commute_mode",
         "calculation_as_of_date", *V.COMMUTE_PARAMETERS,
@@ -140,7 +145,7 @@ def wellbeing(
         as_of.alias("calculation_as_of_date"),
         threshold.alias(V.ACTIVITY_THRESHOLD), days.alias(V.WELLBEING_DAYS),
         reached.alias("is_wellbeing_eligible"),
-        F.when(reached, days).otherwise(F.lit(Decimal(0))).cast(NUMERIC).alias("awarded_wellbeing_days"),
+        F.when(reached, days).otherwise(F.lit(Decimal(0))).cast(RATE).alias("awarded_wellbeing_days"),
         F.col("first_day").alias("first_activity_date"), F.col("last_day").alias("last_activity_date"),
     )
 
@@ -172,7 +177,8 @@ def impact_by_unit(commute: DataFrame, wellbeing_mart: DataFrame) -> DataFrame:
         heads(bonus).alias("commute_bonus_eligible_employee_count"),
         total_or_zero(F.col("bonus") * F.col("right_rows"), 2).cast(MONEY).alias("annual_commute_bonus_gross"),
         heads(well).alias("wellbeing_eligible_employee_count"),
-        total_or_zero(F.col("days") * F.col("left_rows")).cast("decimal(28,6)").alias("awarded_wellbeing_days"),
+        total_or_zero(exact_product(F.col("days"), RATE, F.col("left_rows").cast(WHOLE), WHOLE, RATE.scale))
+        .cast(RATE).alias("awarded_wellbeing_days"),
         heads(well | bonus).alias("employee_with_at_least_one_benefit_count"),
         heads(well & bonus).alias("employee_with_both_benefits_count"),
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkmill.plans import marts, staging
-from perkmill.plans.audits import MODEL_AUDITS, AuditResult, store_failures
+from perkmill.plans.audits import MODEL_AUDITS, RANGE_AUDITS, AuditResult, store_failures
 from perkmill.sources.snapshots import Snapshot, register_layer
 
 # Typed relations: model name, raw relation, plan.
@@ -46,6 +46,7 @@ class RefreshResult:
     version: int
     tables: Mapping[str, DataFrame]
     audits: list[AuditResult]
+    range_audits: list[AuditResult]
 
 
 def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, register: bool = False) -> RefreshResult:
@@ -82,9 +83,10 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
             "mart_benefits_impact_by_business_unit": impact,
         }
         results = store_failures(audit_tables, {**staged, **tables}, MODEL_AUDITS)
+        ranges = store_failures(audit_tables, staged, RANGE_AUDITS)
     if register:
         for name, df in staged.items():
             df.createOrReplaceTempView(name)
         register_layer(spark, "marts", {name: stored.path(name) for name in tables})
-        register_layer(spark, "audit", {a.name: audit_tables.path(a.name) for a in MODEL_AUDITS})
-    return RefreshResult(stored.version, tables, results)
+        register_layer(spark, "audit", {a.name: audit_tables.path(a.name) for a in (*MODEL_AUDITS, *RANGE_AUDITS)})
+    return RefreshResult(stored.version, tables, results, ranges)

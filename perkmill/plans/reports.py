@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from perkmill.functions.text import fingerprint
+from perkmill.schemas import MONEY, RATE
 
 
 def bonus_by_unit(impact: DataFrame) -> DataFrame:
@@ -35,8 +36,8 @@ def unit_summary(impact: DataFrame) -> DataFrame:
         F.sum("employee_count").alias("employees"),
         F.sum("employee_with_at_least_one_benefit_count").alias("with_a_benefit"),
         F.sum("employee_with_both_benefits_count").alias("with_both_benefits"),
-        F.sum("annual_commute_bonus_gross").cast("decimal(28,2)").alias("bonus_total"),
-        F.sum("awarded_wellbeing_days").cast("decimal(28,6)").alias("wellbeing_days_total"),
+        F.sum("annual_commute_bonus_gross").cast(MONEY).alias("bonus_total"),
+        F.sum("awarded_wellbeing_days").cast(RATE).alias("wellbeing_days_total"),
     )
 
 
@@ -48,5 +49,5 @@ def state_fingerprint(commute: DataFrame) -> DataFrame:
     rate = F.regexp_replace(F.col("bonus_rate").cast("string"), r"\.?0+\z", "")
     return commute.groupBy("calculation_as_of_date", "bonus_rate").agg(
         F.count_if(F.col("is_commute_bonus_eligible")).alias("heads"),
-        F.round(F.sum("annual_commute_bonus_gross"), 2).cast("decimal(28,2)").alias("total"),
+        F.round(F.sum("annual_commute_bonus_gross"), 2).cast(MONEY).alias("total"),
     ).select(fingerprint(F.col("calculation_as_of_date"), rate, F.col("heads"), F.col("total")).alias("state"))

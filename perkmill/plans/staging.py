@@ -10,6 +10,7 @@ from perkmill.functions.measures import metres_to_km
 from perkmill.functions.casting import safe_cast
 from perkmill.functions.rules import absent_or, holds, paired, present
 from perkmill.operators.projection import Field, type_columns, with_validity
+from perkmill.schemas import AMOUNT, RATE
 
 _LINEAGE = (Field("source_file"), Field("source_row_number", "integer"))
 _HAS_LINEAGE = ("source_file", "source_row_number")
@@ -21,7 +22,7 @@ _HR_FIELDS = (
     Field("birth_date", "date"),
     Field("business_unit"),
     Field("hire_date", "date"),
-    Field("gross_salary", "numeric"),
+    Field("gross_salary", AMOUNT),
     Field("contract_type"),
     Field("paid_leave_days", "integer"),
     Field("home_address"), Field("commute_mode"),
@@ -38,7 +39,7 @@ _ACTIVITY_FIELDS = (
     Field("activity_id", "integer"), Field("employee_id", "integer"),
     Field("activity_start_datetime", "timestamp"),
     Field("sport_type", label=True),
-    Field("distance_meters", "numeric"),
+    Field("distance_meters", AMOUNT),
     Field("activity_end_datetime", "timestamp"),
     Field("elapsed_seconds", "integer"),
     Field("activity_comment"), Field("source_system"),
@@ -59,7 +60,7 @@ _ROUTE_FIELDS = (
 _PARAMETER_FIELDS = (
     *_LINEAGE,
     Field("parameter_name"),
-    Field("parameter_value", "numeric"),
+    Field("parameter_value", RATE),
     Field("valid_from", "date"), Field("valid_to", "date"),
     Field("parameter_comment"),
 )

@@ -8,8 +8,12 @@ from pyspark.sql import types as T
 
 from perkmill.vocabulary import PENDING
 
-NUMERIC = T.DecimalType(18, 6)
-MONEY = T.DecimalType(28, 2)
+# Numbers without a bound of their own: all 38 digits, with the decimals the column needs.
+AMOUNT = T.DecimalType(38, 10)  # salaries and distances
+RATE = T.DecimalType(38, 14)  # values of parameters
+MONEY = T.DecimalType(38, 2)
+WHOLE = T.DecimalType(20, 0)  # any count
+KILOMETRES = T.DecimalType(18, 6)  # whole metres by 1000, exact
 LINEAGE = ("source_file", "source_row_number")
 
 
@@ -81,7 +85,7 @@ QUEUE = T.StructType([
     T.StructField("employee_id", T.IntegerType(), False),
     T.StructField("activity_start_datetime", T.TimestampType(), False),
     T.StructField("sport_type", T.StringType(), False),
-    T.StructField("distance_meters", NUMERIC),
+    T.StructField("distance_meters", AMOUNT),
     T.StructField("elapsed_seconds", T.IntegerType()),
     T.StructField("activity_comment", T.StringType()),
     T.StructField("source_system", T.StringType()),

@@ -3,13 +3,15 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from perkmill.functions import announcement, casting, jsontext, keys, measures, responses, rules, text
+from perkmill.schemas import AMOUNT, RATE
 from perkmill.vocabulary import SPORT_SPELLINGS
 
 
@@ -36,7 +38,62 @@ def test_bigint(values):
 def test_numeric(values):
     texts = ["1e3", ".5", "5.", " 1.2345678 ", "NaN", "Infinity", "1000000000000", "１２", "1 2", "1e999999999"]
     assert values(texts, cast("numeric")) == [
-        Decimal(1000), Decimal("0.5"), Decimal(5), Decimal("1.234568"), None, None, None, None, None, None]
+        Decimal(1000), Decimal("0.5"), Decimal(5), Decimal("1.2345678"), None, None, Decimal(10) ** 12, None, None, None]
+
+
+def test_numeric_uses_all_digits(values):
+    texts = ["9" * 28, "1" + "0" * 28, "0.00000001", "0.00000000005", "1e27", "1e28", "-12345678901234567.0000000001"]
+    assert values(texts, cast("numeric")) == [
+        Decimal("9" * 28), None, Decimal("1e-8"), Decimal("1e-10"), Decimal(10) ** 27, None, Decimal("-12345678901234567.0000000001")]
+
+
+def test_numbers_that_are_not_kept(values):
+    kept = ["12", "-0.50", "1e27", "0.0000000001", "1000000000000e-22", "0e99", "0000000000000000000000000000000001", "abc", "", None,
+            "5.10000000000000000", "0.00000000000000000001e10", "120e-11"]
+    lost = ["1e28", "0.00000000001", "1" + "0" * 28, "1e-11", "12345e-15", "1e-9999", "0.1e-10"]
+    assert values(kept, lambda c: casting.keeps_number(c, AMOUNT)) == [True] * len(kept)
+    assert values(lost, lambda c: casting.keeps_number(c, AMOUNT)) == [False] * len(lost)
+
+
+def test_products_are_rounded_once(spark):
+    cases = [("0.05", "0.0999999999999"), ("12345678901.1234567891", "0.00000000000001"), ("9999999999999999999999.9999999999", "3.5"),
+             ("1e27", "0.00000000000001"), ("1e27", "1e9"), ("-2.5", "0.002"), ("0", "5"), ("100.1", "0.05"), ("0.0449999999", "0.11111111111111"),
+             ("123456789012.9999999999", "99999999999.99999999999999")]
+    rng = random.Random(3)
+    cases += [(f"{rng.randrange(10 ** rng.randrange(1, 30))}e-10", f"{rng.randrange(10 ** rng.randrange(1, 26))}e-14") for _ in range(150)]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, a string, b string").select(
+        "i", F.col("a").cast(AMOUNT).alias("a"), F.col("b").cast(RATE).alias("b"))
+    found = rows.select("i", *[measures.exact_product(F.col("a"), AMOUNT, F.col("b"), RATE, s).alias(f"s{s}") for s in (2, 14)]).orderBy("i").collect()
+    with localcontext() as context:
+        context.prec = 120
+        for row, (a, b) in zip(found, cases):
+            for scale in (2, 14):
+                exact = (Decimal(a) * Decimal(b)).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)
+                in_range = abs(exact) < Decimal(10) ** (37 - scale)
+                assert row[f"s{scale}"] == (exact if in_range else None), (a, b, scale)
+
+
+@pytest.mark.parametrize("given_text", [
+    "2026/06/20", "2026.6.20", "06/20/2026", "6-20-2026", "06.20.2026", "6/20/26", "20260620", "260620", "June 20, 2026", "JUNE 20 2026",
+    "jun 20,2026", "Jun-20-2026", "20 June 2026", "20-Jun-2026", "20 jun 26", "20Jun2026", "2026-Jun-20", "2026 June 20",
+    "2026/06/20 10:00:00", "06/20/2026T10:00", "20260620 10:00:00+00", "  20-Jun-2026 10:00 UTC "])
+def test_other_ways_to_write_a_day(values, given_text):
+    found = values([given_text], cast("date"))[0]
+    assert (found is None) == (given_text == "20Jun2026") and found in (None, dt.date(2026, 6, 20))
+    moment = values([given_text], cast("timestamp"))[0]
+    assert moment is None or moment == dt.datetime(2026, 6, 20, 10 if "10:00" in given_text else 0)
+
+
+def test_days_that_are_none(values):
+    texts = ["20/06/2026", "31 June 2026", "2026/13/01", "today", "tomorrow", "now", "epoch", "infinity", "2026-06/20", "2026171", "June 2026",
+             "Juneteenth 20, 2026", "20 June", "00000620", "0000/06/20", "June June 20 2026", "06/20/026", "1/2/3/4", "\ue001\ue002-06-20"]
+    assert values(texts, cast("date")) == [None] * len(texts)
+
+
+def test_two_digit_and_long_years(values):
+    as_text = lambda c: casting.safe_cast(c, "date").cast("string")
+    assert values(["1/2/69", "1/2/70", "690102", "12026-06-20", "06/20/12026", "123456-01-02"], as_text) == [
+        "2069-01-02", "1970-01-02", "2069-01-02", "+12026-06-20", "+12026-06-20", "+123456-01-02"]
 
 
 def test_date(values):

@@ -610,6 +610,19 @@ def model_audit_counts(spark, sf):
     return result
 
 
+@query
+def range_audit_rows(spark, sf):
+    """Rows whose numbers 38 digits cannot hold."""
+    models = staged(spark, sf)
+    models["config_benefit_parameters"] = history(spark, sf)
+    number = {"stg_hr_employees": "gross_salary_raw", "stg_sport_activities": "distance_meters_raw",
+              "config_benefit_parameters": "parameter_value_raw"}
+    parts = [check.failures(models[check.relation]).select(
+        F.lit(check.relation).alias("relation"), "source_row_number_raw", F.col(number[check.relation]).alias("number_text"))
+        for check in audits.RANGE_AUDITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def queue_audit_counts(spark, sf):
     checks = Q.queue_audits()

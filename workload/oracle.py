@@ -10,6 +10,7 @@ DAY = r"\d{4}-\d{1,2}-\d{1,2}"
 CLOCK = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?"
 MOMENT = rf"\s*{DAY}([ T]{CLOCK}( ?(Z|UTC|[+-](\d{{1,2}}|\d{{2}}:?\d{{2}})))?)?\s*"
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+NUMBER = r"\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,4})?\s*"
 NOW = "TIMESTAMP '2000-01-01 00:00:00'"
 
 
@@ -25,16 +26,23 @@ def integer(c: str, kind: str = "INTEGER") -> str:
     return shaped(c, r"\s*[+-]?\d+\s*", f"TRY_CAST({clean(c)} AS {kind})")
 
 
-def numeric(c: str) -> str:
-    return shaped(c, r"\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,4})?\s*", f"TRY_CAST({clean(c)} AS DECIMAL(18,6))")
+def numeric(c: str, scale: int = 10) -> str:
+    return shaped(c, NUMBER, f"TRY_CAST({clean(c)} AS DECIMAL(38,{scale}))")
+
+
+# Ways to write a day besides year-month-day, as format strings.
+DAY_FORMATS = ("%m/%d/%y", "%m-%d-%y", "%m.%d.%y", "%Y/%m/%d", "%Y.%m.%d", "%m/%d/%Y", "%m-%d-%Y", "%m.%d.%Y", "%y%m%d", "%Y%m%d",
+               "%B %d, %Y", "%b %d, %Y", "%B %d %Y", "%b %d %Y", "%b-%d-%Y", "%d %B %Y", "%d %b %Y", "%d-%b-%y", "%d-%b-%Y", "%Y-%b-%d")
+OTHER_DAYS = ", ".join(f"'{day}{time}'" for day in DAY_FORMATS for time in ("", " %H:%M:%S"))
 
 
 def date(c: str) -> str:
-    return shaped(c, MOMENT, f"TRY_CAST(regexp_extract({clean(c)}, '{DAY}') AS DATE)")
+    usual = shaped(c, MOMENT, f"TRY_CAST(regexp_extract({clean(c)}, '{DAY}') AS DATE)")
+    return f"coalesce({usual}, CAST(try_strptime({clean(c)}, [{OTHER_DAYS}]) AS DATE))"
 
 
 def timestamp(c: str) -> str:
-    return shaped(c, MOMENT, f"TRY_CAST({clean(c)} AS TIMESTAMP)")
+    return f"coalesce({shaped(c, MOMENT, f'TRY_CAST({clean(c)} AS TIMESTAMP)')}, try_strptime({clean(c)}, [{OTHER_DAYS}]))"
 
 
 def zoned(c: str) -> str:
@@ -62,12 +70,9 @@ LINEAGE = f"""{clean('source_file')} AS source_file, {clean('source_row_number')
 
 
 def parameters(source: str) -> str:
-    return f"""SELECT *, (parameter_name IN ('bonus_rate', 'wellbeing_activity_threshold', 'wellbeing_days',
-        'max_commute_distance_walking_km', 'max_commute_distance_cycling_km')
-      AND parameter_value IS NOT NULL AND parameter_value >= 0 AND valid_from IS NOT NULL
-      AND (valid_to IS NULL OR valid_to >= valid_from)) AS record_is_valid
+    return f"""SELECT *, {verdict(*PARAMETER_RULES)} AS record_is_valid
     FROM (SELECT {LINEAGE}, {clean('parameter_name')} AS parameter_name,
-      {clean('parameter_value')} AS parameter_value_raw, {numeric('parameter_value')} AS parameter_value,
+      {clean('parameter_value')} AS parameter_value_raw, {numeric('parameter_value', 14)} AS parameter_value,
       {clean('valid_from')} AS valid_from_raw, {date('valid_from')} AS valid_from,
       {clean('valid_to')} AS valid_to_raw, {date('valid_to')} AS valid_to,
       {clean('parameter_comment')} AS parameter_comment FROM {source})"""
@@ -90,35 +95,84 @@ RATE, WALK_KM, CYCLE_KM = "bonus_rate", "max_commute_distance_walking_km", "max_
 ALL_NAMES = (RATE, "wellbeing_activity_threshold", "wellbeing_days", WALK_KM, CYCLE_KM)
 
 
+# Reasons against a bonus, in the order in which they count.
+REASONS = {
+    "PARAMETERS_NOT_AVAILABLE": "rate IS NULL OR walk_km IS NULL OR cycle_km IS NULL",
+    "NOT_ACTIVE_COMMUTE_DECLARED": "NOT declares_active",
+    "ROUTE_INVALID_OR_MISSING": "route_key IS NULL",
+    "DISTANCE_ABOVE_LIMIT": "route_distance_km > limit_km",
+    "ELIGIBLE": "true",
+}
+
+
+def unscaled(c: str) -> str:
+    """A decimal as the whole number of its last decimals."""
+    return f"CAST(replace(CAST({c} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
 def commute(parameter_source: str) -> str:
-    return f"""SELECT employee_id, last_name, first_name, business_unit, gross_salary, commute_mode,
-      calculation_as_of_date, {RATE}, {WALK_KM}, {CYCLE_KM}, google_travel_mode, route_distance_meters,
-      route_distance_km, route_duration_seconds,
-      CAST(round(route_duration_seconds / 60.0, 2) AS DECIMAL(18,2)) AS route_duration_minutes,
-      route_requested_at, is_active_commute_declared, has_valid_route, maximum_authorized_distance_km,
-      eligibility_reason, eligibility_reason = 'ELIGIBLE' AS is_commute_bonus_eligible,
-      CAST(CASE WHEN eligibility_reason = 'ELIGIBLE'
-        THEN round(CAST(gross_salary AS DECIMAL(38,6)) * {RATE}, 2) ELSE 0 END AS DECIMAL(28,2))
-        AS annual_commute_bonus_gross
-    FROM (SELECT *, CASE WHEN {RATE} IS NULL OR {WALK_KM} IS NULL OR {CYCLE_KM} IS NULL
-          THEN 'PARAMETERS_NOT_AVAILABLE'
-        WHEN NOT is_active_commute_declared THEN 'NOT_ACTIVE_COMMUTE_DECLARED'
-        WHEN NOT has_valid_route THEN 'ROUTE_INVALID_OR_MISSING'
-        WHEN route_distance_km > maximum_authorized_distance_km THEN 'DISTANCE_ABOVE_LIMIT'
-        ELSE 'ELIGIBLE' END AS eligibility_reason
-      FROM (SELECT e.employee_id, e.last_name, e.first_name, e.business_unit, e.gross_salary, e.commute_mode,
-          as_of.d AS calculation_as_of_date, a.*, r.google_travel_mode, r.route_distance_meters,
-          r.route_distance_km, r.route_duration_seconds, r.requested_at AS route_requested_at,
-          e.commute_mode IN ({WALK}, {CYCLE}) AS is_active_commute_declared,
-          r.employee_id IS NOT NULL AS has_valid_route,
-          CASE e.commute_mode WHEN {WALK} THEN a.{WALK_KM} WHEN {CYCLE} THEN a.{CYCLE_KM} END
-            AS maximum_authorized_distance_km
-        FROM (SELECT * FROM stg_hr_employees WHERE record_is_valid) e
-        LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY employee_id ORDER BY requested_at DESC NULLS FIRST,
-            source_row_number DESC NULLS FIRST, source_file DESC, request_key DESC) AS rn
-          FROM stg_google_routes_responses WHERE record_is_valid) r
-          ON r.employee_id = e.employee_id AND r.rn = 1
-        CROSS JOIN as_of CROSS JOIN ({active(parameter_source, (RATE, WALK_KM, CYCLE_KM))}) a))"""
+    """Every reason that holds is a row of its own; the first one decides."""
+    cents = f"({unscaled('gross_salary')} * {unscaled('rate')} + 5000000000000000000000) // 10000000000000000000000"
+    given = " UNION ALL ".join(
+        f"SELECT person, {place} AS place, '{reason}' AS reason FROM people WHERE {condition}"
+        for place, (reason, condition) in enumerate(REASONS.items()))
+    return f"""WITH newest_route AS (
+        SELECT employee_id AS route_key, unnest(max_by(r, (requested_at, source_row_number, source_file, request_key)))
+        FROM stg_google_routes_responses r WHERE record_is_valid GROUP BY employee_id),
+      people AS (
+        SELECT row_number() OVER () AS person, e.employee_id, last_name, first_name, business_unit, gross_salary, commute_mode,
+          d AS calculation_as_of_date, {RATE} AS rate, {WALK_KM} AS walk_km, {CYCLE_KM} AS cycle_km,
+          commute_mode IN ({WALK}, {CYCLE}) AS declares_active,
+          map {{{WALK}: {WALK_KM}, {CYCLE}: {CYCLE_KM}}}[commute_mode] AS limit_km, route_key, google_travel_mode,
+          route_distance_meters, route_distance_km, route_duration_seconds, requested_at
+        FROM stg_hr_employees e LEFT JOIN newest_route ON route_key = e.employee_id, as_of, ({active(parameter_source, (RATE, WALK_KM, CYCLE_KM))})
+        WHERE e.record_is_valid),
+      given AS ({given}),
+      decided AS (SELECT person, min_by(reason, place) AS eligibility_reason FROM given GROUP BY person)
+      SELECT employee_id, last_name, first_name, business_unit, gross_salary, commute_mode, calculation_as_of_date,
+        rate AS {RATE}, walk_km AS {WALK_KM}, cycle_km AS {CYCLE_KM}, google_travel_mode, route_distance_meters, route_distance_km,
+        route_duration_seconds, CAST(round(route_duration_seconds / 60.0, 2) AS DECIMAL(18,2)) AS route_duration_minutes,
+        requested_at AS route_requested_at, declares_active AS is_active_commute_declared, route_key IS NOT NULL AS has_valid_route,
+        limit_km AS maximum_authorized_distance_km, eligibility_reason, eligibility_reason = 'ELIGIBLE' AS is_commute_bonus_eligible,
+        CAST(CASE eligibility_reason WHEN 'ELIGIBLE' THEN CAST({cents} AS DECIMAL(30,0)) * CAST(0.01 AS DECIMAL(3,2)) ELSE 0 END
+          AS DECIMAL(38,2)) AS annual_commute_bonus_gross
+      FROM people JOIN decided USING (person)"""
+
+
+def verdict(*rules: str) -> str:
+    """False if a rule is broken, else NULL if one cannot be judged, else true."""
+    listed = f"[{', '.join(rules)}]"
+    return f"""(CASE WHEN len(list_filter({listed}, lambda x: NOT x)) > 0 THEN false
+        WHEN len(list_filter({listed}, lambda x: x IS NULL)) = 0 THEN true END)"""
+
+
+def given(*columns: str) -> list[str]:
+    return [f"{c} IS NOT NULL" for c in columns]
+
+
+def known(test: str) -> str:
+    """A test that an unknown value does not pass."""
+    return f"coalesce({test}, false)"
+
+
+HR_RULES = [*given("source_file", "source_row_number", "employee_id", "last_name", "first_name", "birth_date", "business_unit", "hire_date",
+                   "contract_type", "home_address", "commute_mode"), known("gross_salary > 0"), known("paid_leave_days >= 0")]
+ACTIVITY_RULES = {
+    "has_valid_source_metadata": verdict(*given("source_file", "source_row_number")),
+    "has_valid_activity_id": "activity_id IS NOT NULL",
+    "has_valid_employee_id": "employee_id IS NOT NULL",
+    "has_valid_time_range": known("activity_end_datetime - activity_start_datetime > INTERVAL 0 SECOND"),
+    "has_valid_sport_type": "sport_type IS NOT NULL",
+    "has_valid_elapsed_seconds": known("elapsed_seconds > 0"),
+    "has_valid_distance": known("distance_meters >= 0 OR distance_meters_raw IS NULL"),
+}
+ROUTE_RULES = [known(rule) for rule in (
+    *given("source_file", "source_row_number", "request_key", "home_address", "office_address", "requested_at", "response_payload_json"),
+    "employee_id > 0", f"(declared_commute_mode, google_travel_mode) IN (({WALK}, 'WALK'), ({CYCLE}, 'BICYCLE'))",
+    "response_http_status = 200", "route_distance_meters > 0", "route_duration_seconds >= 0")]
+PARAMETER_RULES = [
+    f"list_contains([{', '.join(repr(n) for n in ALL_NAMES)}], parameter_name) OR CAST(nullif(parameter_name IS NULL, true) AS BOOLEAN)",
+    known("parameter_value >= 0"), "valid_from IS NOT NULL", "valid_to IS NULL OR valid_to >= valid_from"]
 
 
 REFUSAL = f"""CASE WHEN error IS NOT NULL THEN '%sREQUEST_ERROR: ' || error
@@ -134,12 +188,7 @@ OFFICE = "1 Office Square"
 
 CTES = {
     **{f"raw_{name}": duckdb_sql(name) for name in STANDINS},
-    "stg_hr_employees": f"""SELECT *, (source_file IS NOT NULL AND source_row_number IS NOT NULL
-        AND employee_id IS NOT NULL AND last_name IS NOT NULL AND first_name IS NOT NULL
-        AND birth_date IS NOT NULL AND business_unit IS NOT NULL AND hire_date IS NOT NULL
-        AND gross_salary IS NOT NULL AND gross_salary > 0 AND contract_type IS NOT NULL
-        AND paid_leave_days IS NOT NULL AND paid_leave_days >= 0 AND home_address IS NOT NULL
-        AND commute_mode IS NOT NULL) AS record_is_valid
+    "stg_hr_employees": f"""SELECT *, {verdict(*HR_RULES)} AS record_is_valid
       FROM (SELECT {LINEAGE}, {clean('employee_id')} AS employee_id_raw, {integer('employee_id')} AS employee_id,
         {clean('last_name')} AS last_name, {clean('first_name')} AS first_name,
         {clean('birth_date')} AS birth_date_raw, {date('birth_date')} AS birth_date,
@@ -155,17 +204,8 @@ CTES = {
       FROM (SELECT {LINEAGE}, {clean('employee_id')} AS employee_id_raw, {integer('employee_id')} AS employee_id,
         {clean('declared_sport')} AS declared_sport_raw, {label('declared_sport')} AS sport_type
         FROM raw_employee_sport_profile_txt)""",
-    "stg_sport_activities": f"""SELECT *, (has_valid_source_metadata AND has_valid_activity_id
-        AND has_valid_employee_id AND has_valid_time_range AND has_valid_sport_type
-        AND has_valid_elapsed_seconds AND has_valid_distance) AS record_is_valid
-      FROM (SELECT *, (source_file IS NOT NULL AND source_row_number IS NOT NULL) AS has_valid_source_metadata,
-          activity_id IS NOT NULL AS has_valid_activity_id, employee_id IS NOT NULL AS has_valid_employee_id,
-          (activity_start_datetime IS NOT NULL AND activity_end_datetime IS NOT NULL
-            AND activity_end_datetime > activity_start_datetime) AS has_valid_time_range,
-          sport_type IS NOT NULL AS has_valid_sport_type,
-          (elapsed_seconds IS NOT NULL AND elapsed_seconds > 0) AS has_valid_elapsed_seconds,
-          (distance_meters_raw IS NULL OR (distance_meters IS NOT NULL AND distance_meters >= 0))
-            AS has_valid_distance
+    "stg_sport_activities": f"""SELECT *, {verdict(*ACTIVITY_RULES)} AS record_is_valid
+      FROM (SELECT *, {", ".join(f"{rule} AS {name}" for name, rule in ACTIVITY_RULES.items())}
         FROM (SELECT {LINEAGE}, {clean('activity_id')} AS activity_id_raw, {integer('activity_id')} AS activity_id,
           {clean('employee_id')} AS employee_id_raw, {integer('employee_id')} AS employee_id,
           {clean('activity_start_datetime')} AS activity_start_datetime_raw,
@@ -177,14 +217,7 @@ CTES = {
           {clean('elapsed_seconds')} AS elapsed_seconds_raw, {integer('elapsed_seconds')} AS elapsed_seconds,
           {clean('activity_comment')} AS activity_comment, {clean('source_system')} AS source_system
           FROM raw_sport_activities_txt))""",
-    "stg_google_routes_responses": f"""SELECT *,
-        coalesce(source_file IS NOT NULL AND source_row_number IS NOT NULL AND request_key IS NOT NULL
-          AND employee_id > 0 AND home_address IS NOT NULL AND office_address IS NOT NULL
-          AND ((declared_commute_mode = {WALK} AND google_travel_mode = 'WALK')
-            OR (declared_commute_mode = {CYCLE} AND google_travel_mode = 'BICYCLE'))
-          AND response_http_status = 200 AND response_payload_json IS NOT NULL
-          AND route_distance_meters > 0 AND route_duration_seconds >= 0
-          AND requested_at IS NOT NULL, false) AS record_is_valid
+    "stg_google_routes_responses": f"""SELECT *, {verdict(*ROUTE_RULES)} AS record_is_valid
       FROM (SELECT *, CAST(route_distance_meters / 1000.0 AS DECIMAL(18,6)) AS route_distance_km
         FROM (SELECT *, {integer(path('response_payload_json', 'routes[0].distanceMeters'))} AS route_distance_meters,
             {integer("regexp_replace(" + path('response_payload_json', 'routes[0].duration') + ", 's$', '')")}
@@ -223,25 +256,28 @@ CTES = {
         a.wellbeing_activity_threshold, a.wellbeing_days,
         coalesce(c.row_count, 0) >= a.wellbeing_activity_threshold AS is_wellbeing_eligible,
         CAST(CASE WHEN coalesce(c.row_count, 0) >= a.wellbeing_activity_threshold THEN a.wellbeing_days ELSE 0 END
-          AS DECIMAL(18,6)) AS awarded_wellbeing_days,
+          AS DECIMAL(38,14)) AS awarded_wellbeing_days,
         c.first_day AS first_activity_date, c.last_day AS last_activity_date
       FROM stg_hr_employees e LEFT JOIN stg_employee_sport_profile p ON p.employee_id = e.employee_id
       LEFT JOIN window_counts c ON c.employee_id = e.employee_id
       CROSS JOIN ({active('config_benefit_parameters', ('wellbeing_activity_threshold', 'wellbeing_days'))}) a
       CROSS JOIN as_of WHERE e.record_is_valid""",
-    "impact": """SELECT c.calculation_as_of_date, c.business_unit, count(*) AS employee_count,
-        count(*) FILTER (WHERE is_active_commute_declared) AS active_commute_declared_employee_count,
-        count(*) FILTER (WHERE has_valid_route) AS employee_with_valid_route_count,
-        count(*) FILTER (WHERE is_commute_bonus_eligible) AS commute_bonus_eligible_employee_count,
-        CAST(coalesce(round(sum(annual_commute_bonus_gross), 2), 0) AS DECIMAL(28,2)) AS annual_commute_bonus_gross,
-        count(*) FILTER (WHERE is_wellbeing_eligible) AS wellbeing_eligible_employee_count,
-        CAST(coalesce(sum(awarded_wellbeing_days), 0) AS DECIMAL(28,6)) AS awarded_wellbeing_days,
-        count(*) FILTER (WHERE is_wellbeing_eligible OR is_commute_bonus_eligible)
-          AS employee_with_at_least_one_benefit_count,
-        count(*) FILTER (WHERE is_wellbeing_eligible AND is_commute_bonus_eligible)
-          AS employee_with_both_benefits_count
-      FROM commute c JOIN wellbeing w ON c.employee_id = w.employee_id
-      GROUP BY c.calculation_as_of_date, c.business_unit""",
+    # One row of marks per pair of mart rows of an employee; the mart is their sums.
+    "marks": """SELECT calculation_as_of_date, business_unit, 1 AS heads, is_active_commute_declared::INT AS active,
+        has_valid_route::INT AS routed, is_commute_bonus_eligible::INT AS bonus, is_wellbeing_eligible::INT AS well,
+        annual_commute_bonus_gross AS amount, awarded_wellbeing_days AS days
+      FROM (SELECT employee_id, calculation_as_of_date, business_unit, is_active_commute_declared, has_valid_route,
+          is_commute_bonus_eligible, annual_commute_bonus_gross FROM commute)
+      JOIN (SELECT employee_id, is_wellbeing_eligible, awarded_wellbeing_days FROM wellbeing) USING (employee_id)""",
+    "impact": f"""SELECT calculation_as_of_date, business_unit, {", ".join(
+        f"CAST(coalesce(sum({mark}), 0) AS {kind}) AS {name}" for name, mark, kind in (
+            ("employee_count", "heads", "BIGINT"), ("active_commute_declared_employee_count", "active", "BIGINT"),
+            ("employee_with_valid_route_count", "routed", "BIGINT"), ("commute_bonus_eligible_employee_count", "bonus", "BIGINT"),
+            ("annual_commute_bonus_gross", "amount", "DECIMAL(38,2)"), ("wellbeing_eligible_employee_count", "well", "BIGINT"),
+            ("awarded_wellbeing_days", "days", "DECIMAL(38,14)"),
+            ("employee_with_at_least_one_benefit_count", "greatest(well, bonus)", "BIGINT"),
+            ("employee_with_both_benefits_count", "least(well, bonus)", "BIGINT")))}
+      FROM marks GROUP BY calculation_as_of_date, business_unit""",
     "queue": "SELECT * FROM raw_queue",
     "delivery": f"""SELECT activity_id, problem IS NULL AS succeeded,
         CASE WHEN problem IS NULL THEN {path('body', 'channel')} END AS channel_id,
@@ -310,8 +346,8 @@ def _audit_counts() -> str:
         count("mart_commute_bonus_flag_matches_reason", "commute",
               "is_commute_bonus_eligible = (eligibility_reason = 'ELIGIBLE')"),
         count("mart_commute_bonus_amount_matches_eligibility", "commute",
-              "annual_commute_bonus_gross = CASE WHEN is_commute_bonus_eligible"
-              " THEN round(CAST(gross_salary AS DECIMAL(38,6)) * bonus_rate, 2) ELSE 0 END"),
+              f"{unscaled('annual_commute_bonus_gross')} = CASE WHEN is_commute_bonus_eligible THEN ({unscaled('gross_salary')}"
+              f" * {unscaled('bonus_rate')} + 5000000000000000000000) // 10000000000000000000000 ELSE 0 END"),
         count("mart_commute_bonus_eligible_employee_has_valid_route", "commute",
               "NOT is_commute_bonus_eligible OR (is_active_commute_declared AND has_valid_route"
               " AND route_distance_km <= maximum_authorized_distance_km)"),
@@ -433,12 +469,12 @@ ORACLE = {
     "impact_by_unit": "SELECT * FROM impact",
     "impact_report": """SELECT calculation_as_of_date, bonus_rate,
         count(*) FILTER (WHERE is_commute_bonus_eligible) AS eligible_employee_count,
-        CAST(round(sum(annual_commute_bonus_gross), 2) AS DECIMAL(28,2)) AS annual_commute_bonus_gross
+        CAST(round(sum(annual_commute_bonus_gross), 2) AS DECIMAL(38,2)) AS annual_commute_bonus_gross
         FROM commute GROUP BY 1, 2""",
     "state_fingerprint": r"""SELECT concat_ws('|', CAST(calculation_as_of_date AS VARCHAR),
           regexp_replace(CAST(bonus_rate AS VARCHAR), '\.?0+$', ''),
           CAST(count(*) FILTER (WHERE is_commute_bonus_eligible) AS VARCHAR),
-          CAST(CAST(round(sum(annual_commute_bonus_gross), 2) AS DECIMAL(28,2)) AS VARCHAR)) AS state
+          CAST(CAST(round(sum(annual_commute_bonus_gross), 2) AS DECIMAL(38,2)) AS VARCHAR)) AS state
         FROM commute GROUP BY calculation_as_of_date, bonus_rate""",
     "bonus_by_unit": """SELECT business_unit, calculation_as_of_date, annual_commute_bonus_gross,
         commute_bonus_eligible_employee_count FROM impact""",
@@ -449,8 +485,8 @@ ORACLE = {
     "unit_summary": """SELECT business_unit, CAST(sum(employee_count) AS BIGINT) AS employees,
         CAST(sum(employee_with_at_least_one_benefit_count) AS BIGINT) AS with_a_benefit,
         CAST(sum(employee_with_both_benefits_count) AS BIGINT) AS with_both_benefits,
-        CAST(sum(annual_commute_bonus_gross) AS DECIMAL(28,2)) AS bonus_total,
-        CAST(sum(awarded_wellbeing_days) AS DECIMAL(28,6)) AS wellbeing_days_total FROM impact GROUP BY 1""",
+        CAST(sum(annual_commute_bonus_gross) AS DECIMAL(38,2)) AS bonus_total,
+        CAST(sum(awarded_wellbeing_days) AS DECIMAL(38,14)) AS wellbeing_days_total FROM impact GROUP BY 1""",
 
     "insert_only_merge": f"""SELECT * FROM queue WHERE last_error IS NOT NULL OR published_at IS NOT NULL
         UNION ALL SELECT CAST(activity_id AS BIGINT), employee_id, activity_start_datetime, sport_type, distance_meters,
@@ -546,6 +582,12 @@ ORACLE = {
         WHERE employee_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "model_audit_counts": _audit_counts(),
     "queue_audit_counts": _queue_audits(),
+    "range_audit_rows": " UNION ALL ".join(
+        f"""SELECT '{relation}' AS relation, source_row_number_raw, {column}_raw AS number_text FROM {relation}
+        WHERE {shaped(column + '_raw', NUMBER, 'true')} AND ({column} IS NULL
+          OR coalesce(TRY_CAST({column}_raw AS DECIMAL(38,20)) <> TRY_CAST({column} AS DECIMAL(38,20)), false))"""
+        for relation, column in (("stg_hr_employees", "gross_salary"), ("stg_sport_activities", "distance_meters"),
+                                 ("history", "parameter_value"))).replace("'history'", "'config_benefit_parameters'"),
 }
 
 

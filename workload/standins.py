@@ -4,7 +4,8 @@ The driver's tables play the parts of the raw inputs: customers are employees, o
 activities, events are route responses, suppliers are parameter versions. Every stand-in
 reads its whole table. Some values are made blank or unreadable on purpose, so that each
 validation branch is taken. The derivations are plain SQL that Spark and DuckDB share;
-``{plus:...}`` marks the one construct that differs between the two.
+``{plus:...}`` marks the one construct that differs between the two, ``{shaped:...}`` a day that
+is written in many ways.
 """
 
 from __future__ import annotations
@@ -26,18 +27,21 @@ STANDINS = {
           CASE WHEN c_custkey % 61 = 60 THEN '  ' || CAST(c_custkey AS STRING) || ' '
                ELSE CAST(c_custkey AS STRING) END AS employee_id,
           c_name AS last_name, 'N' || CAST(c_nationkey AS STRING) AS first_name,
-          CASE WHEN c_custkey % 53 = 7 THEN '2026-02-30'
-               ELSE CAST(date '1960-01-01' + CAST(c_custkey % 12000 AS INT) AS STRING) END AS birth_date,
+          CASE WHEN c_custkey % 53 = 7 THEN '2026-02-30' WHEN c_custkey % 53 = 8 THEN 'today'
+               ELSE {shaped:born|c_custkey % 23} END AS birth_date,
           c_mktsegment AS business_unit,
           CASE WHEN c_custkey % 59 = 8 THEN '20/06/2026'
-               ELSE CAST(date '1990-01-01' + CAST(c_custkey % 9000 AS INT) AS STRING) END AS hire_date,
-          CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) AS gross_salary,
+               ELSE {shaped:hired|c_custkey % 29} END AS hire_date,
+          CASE c_custkey % 41 WHEN 11 THEN '1e13' WHEN 12 THEN '0.00000001' WHEN 13 THEN '123456789012345.1250000001'
+               WHEN 14 THEN '1' || repeat('0', 39) WHEN 15 THEN '1000.00000000004' WHEN 16 THEN '7e-12' WHEN 17 THEN '0012.50e2'
+               ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) END AS gross_salary,
           CASE WHEN c_nationkey % 2 = 0 THEN 'CDI' ELSE 'CDD' END AS contract_type,
           CASE WHEN c_custkey % 67 = 9 THEN '1.5' ELSE CAST(c_nationkey AS STRING) END AS paid_leave_days,
           CASE WHEN c_custkey % 71 = 10 THEN '   ' ELSE c_name || ', ' || c_mktsegment END AS home_address,
           CASE c_nationkey % 3 WHEN 0 THEN 'Marche/running' WHEN 1 THEN ' Vélo/Trottinette/Autres '
                ELSE 'Voiture' END AS commute_mode
-        FROM customer""",
+        FROM (SELECT *, CAST(date '1960-01-01' + CAST(c_custkey % 12000 AS INT) AS STRING) AS born,
+            CAST(date '1990-01-01' + CAST(c_custkey % 9000 AS INT) AS STRING) AS hired FROM customer) AS c""",
     "employee_sport_profile_txt": """
         SELECT 'customer' AS source_file, CAST(c_custkey + 2 AS STRING) AS source_row_number,
           CAST(c_custkey AS STRING) AS employee_id,
@@ -50,13 +54,14 @@ STANDINS = {
     "sport_activities_txt": f"""
         SELECT 'orders' AS source_file, CAST(o_orderkey + 2 AS STRING) AS source_row_number,
           CAST(o_orderkey AS STRING) AS activity_id, CAST(o_custkey AS STRING) AS employee_id,
-          CAST({_START} AS STRING) AS activity_start_datetime,
+          {{shaped:started|o_orderkey % 37}} AS activity_start_datetime,
           CASE WHEN o_orderkey % 91 = 2 THEN '  '
                WHEN o_orderpriority = '1-URGENT' THEN 'Runing' WHEN o_orderpriority = '2-HIGH' THEN ' runing '
                WHEN o_orderpriority = '3-MEDIUM' THEN 'Tennis' WHEN o_orderpriority = '5-LOW' THEN 'Voile'
                ELSE 'Natation' END AS sport_type,
           CASE WHEN o_orderpriority = '3-MEDIUM' THEN '' WHEN o_orderkey % 79 = 5 THEN '-5'
                WHEN o_orderkey % 73 = 4 THEN 'abc'
+               WHEN o_orderkey % 107 = 6 THEN '1e12' WHEN o_orderkey % 107 = 7 THEN '.00000000001' WHEN o_orderkey % 107 = 8 THEN '5e40'
                ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS distance_meters,
           CASE WHEN o_orderkey % 83 = 0 THEN CAST({_START} AS STRING)
                WHEN o_orderkey % 101 = 1 THEN 'now'
@@ -67,7 +72,7 @@ STANDINS = {
           CASE WHEN o_orderkey % 4 = 0 THEN '  ' WHEN o_orderkey % 4 = 1 THEN 'Belle   sortie'
                ELSE 'Order ' || o_orderstatus END AS activity_comment,
           'orders' AS source_system
-        FROM orders""",
+        FROM (SELECT *, CAST({_START} AS STRING) AS started FROM orders) AS o""",
     "google_routes_responses_txt": """
         SELECT 'events' AS source_file, CAST(event_id + 2 AS STRING) AS source_row_number,
           'request-' || CAST(event_id AS STRING) AS request_key, CAST(user_id AS STRING) AS employee_id,
@@ -115,22 +120,23 @@ STANDINS = {
                WHEN 2 THEN 'wellbeing_days' WHEN 3 THEN 'max_commute_distance_walking_km'
                WHEN 4 THEN 'max_commute_distance_cycling_km' WHEN 5 THEN 'unknown_parameter'
                ELSE NULL END AS parameter_name,
-          CASE WHEN s_suppkey % 29 = 3 THEN 'n/a' ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS STRING) END
+          CASE WHEN s_suppkey % 29 = 3 THEN 'n/a' WHEN s_suppkey % 29 = 4 THEN '1e23' WHEN s_suppkey % 29 = 5 THEN '1e24'
+               WHEN s_suppkey % 29 = 6 THEN '0.00000001' ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS STRING) END
             AS parameter_value,
           CASE WHEN s_suppkey % 31 = 4 THEN '1996'
-               ELSE CAST(date '1994-06-01' + CAST((s_suppkey * 97) % 2600 AS INT) AS STRING) END AS valid_from,
+               ELSE {shaped:since|s_suppkey % 17} END AS valid_from,
           CASE s_suppkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL
                WHEN 2 THEN CAST(date '1994-06-01' + CAST((s_suppkey * 97) % 2600 - 1 AS INT) AS STRING)
                ELSE CAST(date '1994-06-01' + CAST((s_suppkey * 97) % 2600 + 40 + (s_suppkey * 13) % 900 AS INT)
                     AS STRING) || ' 12:00:00+00' END AS valid_to,
           s_name AS parameter_comment
-        FROM supplier""",
+        FROM (SELECT *, CAST(date '1994-06-01' + CAST((s_suppkey * 97) % 2600 AS INT) AS STRING) AS since FROM supplier) AS s""",
     # The publication queue holding every order.
     "queue": f"""
         SELECT o_orderkey AS activity_id, CAST(o_custkey AS INT) AS employee_id,
           {_START} AS activity_start_datetime, o_orderpriority AS sport_type,
           CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL
-               ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,6)) END AS distance_meters,
+               ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,10)) END AS distance_meters,
           CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST({_SECONDS} AS INT) END AS elapsed_seconds,
           CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'Order  ' || o_orderstatus END AS activity_comment,
           'orders' AS source_system,
@@ -168,13 +174,33 @@ STANDINS = {
         FROM orders WHERE o_orderstatus = 'O'""",
 }
 
+_SHAPED = re.compile(r"\{shaped:([^{}|]*)\|([^{}|]*)\}")
+# Other ways to write a day, by the value of the chosen remainder.
+_WAYS = ("{y}/{m}/{d}", "{y}.{m}.{d}", "{m}/{d}/{y}", "{m}-{d}-{y}", "{m}/{d}/{yy}", "{y}{m}{d}", "{yy}{m}{d}", "{month} {d}, {y}",
+         "{mon} {d} {y}", "{d} {MONTH} {y}", "{d}-{mon}-{y}", "{d}-{mon}-{yy}", "{y}-{mon}-{d}", "{mon}-{d}-{y}")
+# The months in nine characters each.
+_MONTH_NAMES = "January  February March    April    May      June     July     August   SeptemberOctober  November December "
+
+
+def _shaped(text: str, way: str) -> str:
+    """``text``, which begins with yyyy-mm-dd, written in the way that ``way`` says, or as it is."""
+    name = f"trim(substr('{_MONTH_NAMES}', 9 * CAST(substr({text}, 6, 2) AS INT) - 8, 9))"
+    parts = {"y": f"substr({text}, 1, 4)", "yy": f"substr({text}, 3, 2)", "m": f"substr({text}, 6, 2)", "d": f"substr({text}, 9, 2)",
+             "month": name, "mon": f"substr({name}, 1, 3)", "MONTH": f"upper({name})"}
+    cases = []
+    for value, form in enumerate(_WAYS, 1):
+        pieces = [parts[p] if i % 2 else f"'{p}'" for i, p in enumerate(re.split(r"[{}]", form)) if p]
+        cases.append(f"WHEN {value} THEN {' || '.join(pieces)} || substr({text}, 11)")
+    return f"(CASE {way} {' '.join(cases)} ELSE {text} END)"
+
+
 _PLUS = re.compile(r"\{plus:([^{}|]*)\|([^{}|]*)\}")
 
 
 def _render(sql: str, plus: str) -> str:
     while _PLUS.search(sql):
         sql = _PLUS.sub(lambda m: plus.format(moment=m.group(1), seconds=m.group(2)), sql)
-    return sql
+    return _SHAPED.sub(lambda m: _shaped(m.group(1), m.group(2)), sql)
 
 
 def duckdb_sql(name: str) -> str:
