@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill.session import checkpoint
 
+# Keys of a batch are sent to all tasks up to this size.
+BATCH_KEY_BYTES = 32 << 20
+
 
 def left_join_default(
     left: DataFrame, right: DataFrame, key: str, defaults: Mapping[str, object] | None = None,
@@ -39,6 +42,37 @@ def missing_from(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return df.join(stored.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size that the optimizer expects of ``df`` from the files it is read from. Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def missing_of_batch(batch: DataFrame, stored: DataFrame, key: str, most_bytes: int = BATCH_KEY_BYTES) -> DataFrame:
+    """As ``missing_from``, for a batch that is small beside what is stored.
+
+    The keys of the batch go to all tasks, which look for them while they read the stored keys;
+    only the ones found, at most as many as the batch has, are shuffled. The stored side stays
+    where it is. A batch whose keys are expected to take more than ``most_bytes`` is joined
+    as two shuffled sides.
+    """
+    keys = batch.select(key).filter(F.col(key).isNotNull())
+    if planned_bytes(keys) > most_bytes:
+        return missing_from(batch, stored, key)
+    known = stored.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
+    return batch.join(F.broadcast(known), key, "left_anti")
+
+
+def unique_or_fail(df: DataFrame, key: str) -> DataFrame:
+    """The same rows, failing the job if a key occurs twice; only keys are shuffled.
+
+    ``df`` is read twice, so it should be stored.
+    """
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    first = repeated.agg(F.min(F.coalesce(F.col(key).cast("string"), F.lit("NULL")))).scalar()
+    message = F.concat(F.lit(f"duplicate {key}: "), first)
+    return df.filter(F.when(first.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def require_unique(df: DataFrame, key: str) -> DataFrame:
     """The same rows, failing the job if a key occurs twice.
 
@@ -63,12 +97,21 @@ def update_rows(
     Only affected rows are shuffled to meet their changes; all others pass straight
     through. Columns of ``changes`` are read in ``assignments`` as ``change.<name>``.
     """
-    change = require_unique(changes, key).select(
-        F.col(key), F.struct(*[c for c in changes.columns if c != key]).alias("change")
-    )
     matched = F.col("change").isNotNull()
-    touched = target.filter(affected).join(change, key, "left").select(*[
+    touched = target.filter(affected).join(_one_change_per_key(changes, key), key, "left").select(*[
         F.when(matched, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c)
         for c in target.columns
     ])
     return target.filter(~affected | affected.isNull()).unionByName(touched)
+
+
+def updated_rows(
+    target: DataFrame, affected: Column, changes: DataFrame, key: str, assignments: Mapping[str, Column],
+) -> DataFrame:
+    """As ``update_rows``, but only the rows that get assignments."""
+    return target.filter(affected).join(_one_change_per_key(changes, key), key).select(*[
+        assignments[c].cast(target.schema[c].dataType).alias(c) if c in assignments else F.col(c) for c in target.columns])
+
+
+def _one_change_per_key(changes: DataFrame, key: str) -> DataFrame:
+    return require_unique(changes, key).select(F.col(key), F.struct(*[c for c in changes.columns if c != key]).alias("change"))

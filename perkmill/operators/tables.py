@@ -6,12 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from perkmill.operators.joins import missing_from, require_unique
+from perkmill.operators.joins import missing_of_batch, unique_or_fail
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Source rows whose key the target lacks; two new rows with one key fail the job."""
-    return require_unique(missing_from(source, target, key), key)
+    return unique_or_fail(missing_of_batch(source, target, key), key)
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, key: str, defaults: Mapping[str, Column]) -> DataFrame:
@@ -40,6 +40,13 @@ def assign_where(df: DataFrame, condition: Column, assignments: Mapping[str, Col
     ])
 
 
+def changed_rows(df: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
+    """Only the rows where ``condition`` is true, with the columns set."""
+    schema = df.schema
+    return df.filter(condition).select(*[
+        assignments[c].cast(schema[c].dataType).alias(c) if c in assignments else F.col(c) for c in schema.names])
+
+
 def emptied(df: DataFrame) -> DataFrame:
     """No rows, same schema."""
     return df.sparkSession.createDataFrame([], df.schema)

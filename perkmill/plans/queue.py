@@ -14,10 +14,10 @@ from perkmill import vocabulary as V
 from perkmill.functions.announcement import announcement_text
 from perkmill.functions.measures import older_than
 from perkmill.operators.aggregates import histogram
-from perkmill.operators.joins import update_rows
+from perkmill.operators.joins import missing_of_batch, unique_or_fail, update_rows, updated_rows
 from perkmill.operators.quality import Audit, is_true, not_null, unique
 from perkmill.operators.ranking import batch_boundary, first_rows
-from perkmill.operators.tables import assign_where, insert_only_merge, rows_to_insert
+from perkmill.operators.tables import assign_where, changed_rows, insert_only_merge, rows_to_insert
 from perkmill.plans.audits import enforce, run_audits
 from perkmill.schemas import QUEUE, QUEUE_DEFAULTS, QUEUE_FACT_COLUMNS, QUEUE_REQUIRED
 from perkmill.sources.snapshots import Snapshot
@@ -58,6 +58,13 @@ def new_rows(queue: DataFrame, fact: DataFrame, now: Column | None = None) -> Da
     return fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUEUE.fields])
 
 
+def new_rows_of_batch(stored_keys: DataFrame, fact: DataFrame, now: Column | None = None) -> DataFrame:
+    """As ``new_rows``, for stored facts that are few beside the stored keys, which are not moved."""
+    source = as_queue_source(fact)
+    fresh = missing_of_batch(unique_or_fail(source, "activity_id"), stored_keys, "activity_id").withColumns(_defaults(_now(now)))
+    return fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUEUE.fields])
+
+
 def synchronise(queue: DataFrame, fact: DataFrame, now: Column | None = None) -> DataFrame:
     """Insert-only merge of the facts; rows already queued stay as they are."""
     return insert_only_merge(queue, as_queue_source(fact), "activity_id", _defaults(_now(now)))
@@ -65,27 +72,45 @@ def synchronise(queue: DataFrame, fact: DataFrame, now: Column | None = None) ->
 
 def backfill(queue: DataFrame, keep_newest: int = 0, now: Column | None = None) -> DataFrame:
     """All pending rows but the ``keep_newest`` newest become BACKFILLED."""
+    return assign_where(queue, *_backfilling(queue, keep_newest, now))
+
+
+def backfill_changes(queue: DataFrame, keep_newest: int = 0, now: Column | None = None) -> DataFrame:
+    """The rows that ``backfill`` changes."""
+    return changed_rows(queue, *_backfilling(queue, keep_newest, now))
+
+
+def _backfilling(queue: DataFrame, keep_newest: int, now: Column | None) -> tuple[Column, dict[str, Column]]:
     if keep_newest < 0:
         raise ValueError("keep_newest must not be negative")
     older = _status(V.PENDING)
     if keep_newest:
         edge = batch_boundary(queue.filter(_status(V.PENDING)), _AGE, keep_newest, newest=True)
         older = older & (F.struct(*_AGE) < edge)
-    return assign_where(queue, older, {
+    return older, {
         "publication_status": F.lit(V.BACKFILLED), "claimed_at": F.lit(None), "last_error": F.lit(None),
         "updated_at": _now(now),
-    })
+    }
 
 
 def expire_stale_claims(
     queue: DataFrame, stale_minutes: int = V.DEFAULT_STALE_MINUTES, now: Column | None = None,
 ) -> DataFrame:
     """Claims older than ``stale_minutes`` become errors."""
+    return assign_where(queue, *_expiring(stale_minutes, now))
+
+
+def expire_changes(queue: DataFrame, stale_minutes: int = V.DEFAULT_STALE_MINUTES, now: Column | None = None) -> DataFrame:
+    """The rows that ``expire_stale_claims`` changes."""
+    return changed_rows(queue, *_expiring(stale_minutes, now))
+
+
+def _expiring(stale_minutes: int, now: Column | None) -> tuple[Column, dict[str, Column]]:
     _positive(stale_minutes=stale_minutes)
     stale = _status(V.IN_PROGRESS) & older_than(F.col("claimed_at"), stale_minutes, _now(now))
-    return assign_where(queue, stale, {
+    return stale, {
         "publication_status": F.lit(V.ERROR), "last_error": F.lit(V.STALE_CLAIM_ERROR), "updated_at": _now(now),
-    })
+    }
 
 
 def _claimable(retry_errors: bool) -> Column:
@@ -107,16 +132,24 @@ def claim_batch(
     Both are computed from ``queue``. Pass a fixed ``now`` if they must carry the very same
     time, and store the snapshot before publishing what was claimed.
     """
+    taken, claimed = _claiming(queue, limit, retry_errors, now)
+    batch = queue.filter(taken).select(*QUEUE_FACT_COLUMNS)
+    return assign_where(queue, taken, claimed), batch
+
+
+def claim_changes(queue: DataFrame, limit: int, retry_errors: bool = False, now: Column | None = None) -> DataFrame:
+    """The rows that ``claim_batch`` claims, as they are afterwards."""
+    return changed_rows(queue, *_claiming(queue, limit, retry_errors, now))
+
+
+def _claiming(queue: DataFrame, limit: int, retry_errors: bool, now: Column | None) -> tuple[Column, dict[str, Column]]:
     _positive(limit=limit)
     claimable = _claimable(retry_errors)
     edge = batch_boundary(queue.filter(claimable), _AGE, limit)
-    taken = claimable & (F.struct(*_AGE) <= edge)
-    claimed = {
+    return claimable & (F.struct(*_AGE) <= edge), {
         "publication_status": F.lit(V.IN_PROGRESS), "attempt_count": F.col("attempt_count") + 1,
         "claimed_at": _now(now), "updated_at": _now(now), "last_error": F.lit(None),
     }
-    batch = queue.filter(taken).select(*QUEUE_FACT_COLUMNS)
-    return assign_where(queue, taken, claimed), batch
 
 
 def with_announcement(batch: DataFrame) -> DataFrame:
@@ -133,6 +166,15 @@ def apply_deliveries(queue: DataFrame, results: DataFrame, now: Column | None =
     ``results`` has one row per activity: ``activity_id, succeeded, channel_id, message_ts,
     error_message, permalink, link_error``. Rows no longer in progress stay as they are.
     """
+    return update_rows(queue, _status(V.IN_PROGRESS), results, "activity_id", _settled(now))
+
+
+def delivery_changes(queue: DataFrame, results: DataFrame, now: Column | None = None) -> DataFrame:
+    """The rows that ``apply_deliveries`` changes."""
+    return updated_rows(queue, _status(V.IN_PROGRESS), results, "activity_id", _settled(now))
+
+
+def _settled(now: Column | None) -> dict[str, Column]:
     change = F.col("change")
     ok = F.coalesce(change["succeeded"], F.lit(False))
 
@@ -140,7 +182,7 @@ def apply_deliveries(queue: DataFrame, results: DataFrame, now: Column | None =
         return F.when(ok, value).otherwise(F.col(column))
 
     failure = F.substring(F.coalesce(change["error_message"], F.lit("UNKNOWN_ERROR")), 1, V.ERROR_TEXT_LENGTH)
-    return update_rows(queue, _status(V.IN_PROGRESS), results, "activity_id", {
+    return {
         "publication_status": F.when(ok, F.lit(V.PUBLISHED)).otherwise(F.lit(V.ERROR)),
         "published_at": on_success(_now(now), "published_at"),
         "slack_channel_id": on_success(change["channel_id"], "slack_channel_id"),
@@ -148,7 +190,7 @@ def apply_deliveries(queue: DataFrame, results: DataFrame, now: Column | None =
         "slack_permalink": on_success(change["permalink"], "slack_permalink"),
         "last_error": F.when(ok, change["link_error"]).otherwise(failure),
         "updated_at": _now(now),
-    })
+    }
 
 
 def links_to_repair(queue: DataFrame, limit: int) -> DataFrame:
@@ -166,10 +208,17 @@ def links_to_repair(queue: DataFrame, limit: int) -> DataFrame:
 
 def apply_links(queue: DataFrame, links: DataFrame, now: Column | None = None) -> DataFrame:
     """Store repaired links (``activity_id, permalink, link_error``) of published rows."""
+    return update_rows(queue, _status(V.PUBLISHED), links, "activity_id", _linked(now))
+
+
+def link_changes(queue: DataFrame, links: DataFrame, now: Column | None = None) -> DataFrame:
+    """The rows that ``apply_links`` changes."""
+    return updated_rows(queue, _status(V.PUBLISHED), links, "activity_id", _linked(now))
+
+
+def _linked(now: Column | None) -> dict[str, Column]:
     change = F.col("change")
-    return update_rows(queue, _status(V.PUBLISHED), links, "activity_id", {
-        "slack_permalink": change["permalink"], "last_error": change["link_error"], "updated_at": _now(now),
-    })
+    return {"slack_permalink": change["permalink"], "last_error": change["link_error"], "updated_at": _now(now)}
 
 
 def status_histogram(queue: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from perkmill import vocabulary as V
 from perkmill.operators.ranking import earliest_by_key
-from perkmill.operators.joins import missing_from
+from perkmill.operators.joins import missing_of_batch
 from perkmill.schemas import LINEAGE, RAW, SourceSpec
 from perkmill.sources.lineage import FIRST_ROW, number_rows, with_block_position
 
@@ -84,7 +84,7 @@ def append_responses(stored: DataFrame, arrived: DataFrame) -> DataFrame:
     """
     keyed = arrived.filter(F.col("request_key").isNotNull())
     order = ["requested_at", "source_row_number", "employee_id", "response_payload_json"]
-    fresh = earliest_by_key(missing_from(keyed, stored, "request_key"), ["request_key"], order)
+    fresh = earliest_by_key(missing_of_batch(keyed, stored, "request_key"), ["request_key"], order)
     return (
         stored.unionByName(fresh.select(*stored.columns))
         .unionByName(arrived.filter(F.col("request_key").isNull()).select(*stored.columns))

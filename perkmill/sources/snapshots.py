@@ -41,6 +41,35 @@ def committed_version(spark: SparkSession, root: str) -> int | None:
     return None
 
 
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Every version whose tables are all written, oldest first."""
+    found = []
+    for version in _versions(spark, root):
+        fs, marker = _path(spark, _folder(root, version), _COMMITTED)
+        if fs.exists(marker):
+            found.append(version)
+    return found
+
+
+def markers(spark: SparkSession, root: str, version: int, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of a version's marker files."""
+    fs, path = _path(spark, _folder(root, version))
+    names = [status.getPath().getName() for status in fs.listStatus(path) if status.isFile()]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Stored bytes below ``path``; 0 if there is nothing."""
+    fs, folder = _path(spark, path)
+    return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+
+def remove_table(spark: SparkSession, root: str, table: str, version: int) -> None:
+    """Delete one table of a version that nobody reads any more."""
+    fs, path = _path(spark, _folder(root, version), table)
+    fs.delete(path, True)
+
+
 def table_path(spark: SparkSession, root: str, table: str, version: int | None = None) -> str:
     version = committed_version(spark, root) if version is None else version
     if version is None:
@@ -71,6 +100,10 @@ class Snapshot:
         fs, path = _path(self.spark, _folder(self.root, self.version), name)
         fs.create(path, False).close()
 
+    def mark(self, name: str) -> None:
+        """An empty file whose name says something about this version."""
+        self._touch(name)
+
     def path(self, table: str) -> str:
         return f"{_folder(self.root, self.version)}/{table}"
 

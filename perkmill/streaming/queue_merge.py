@@ -7,7 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from perkmill.plans import marts, queue as Q, staging
 from perkmill.plans.audits import enforce, run_audits
+from perkmill.plans.queue_store import QueueStore
 from perkmill.schemas import QUEUE, RAW
+from perkmill.session import checkpoint
 from perkmill.sources.lineage import FIRST_ROW, has_block, number_rows, with_block, with_position
 
 _ARRIVED = RAW["sport_activities_txt"]
@@ -49,24 +51,44 @@ def with_lineage(batch: DataFrame) -> DataFrame:
     return batch.select(*_ARRIVED.names)
 
 
-def append_batch(batch: DataFrame, queue_path: str, now: Column | None = None, invalid_path: str | None = None) -> None:
+def append_batch(batch: DataFrame, queue_path: str, now: Column | None = None, invalid_path: str | None = None,
+                 batch_id: int | None = None) -> None:
     """Append the batch's activities that are not queued yet; store those that are not valid.
 
-    Only the key column of the stored queue is read, and only new rows are written. They pass
-    the queue's audits first. A batch that is replayed after a failure finds its rows stored
-    and adds nothing, so no watermark or state is kept, however late an activity arrives.
-    Invalid rows are written to ``invalid_path`` (by default beside the queue) as staged rows;
-    a replayed batch writes them again, with the same lineage.
+    The batch is typed once and its new rows are worked out once. Only the key column of the
+    stored queue is read, and only new rows are written. They pass the queue's audits first. A
+    batch that is replayed after a failure finds its rows stored and adds nothing, so no
+    watermark or state is kept, however late an activity arrives. Invalid rows are written to
+    ``invalid_path`` (by default beside the queue) as staged rows, under the number of the
+    batch: a replayed batch replaces its own.
     """
     spark = batch.sparkSession
     stored = spark.read.schema(QUEUE).parquet(queue_path)
     raw = with_lineage(batch)
-    staged = staging.sport_activities(raw)
-    fresh = Q.new_rows(stored, marts.activity_fact(staged), now)
+    staged = checkpoint(staging.sport_activities(raw))
+    fresh = checkpoint(Q.new_rows(stored, marts.activity_fact(staged), now))
     enforce(run_audits({Q.RELATION: fresh}, Q.queue_audits()))
     fresh.write.mode("append").parquet(queue_path)
     invalid = staged.filter(~F.coalesce(F.col("record_is_valid"), F.lit(False)))
-    invalid.write.mode("append").parquet(invalid_path or invalid_rows_path(queue_path))
+    number = "unnumbered" if batch_id is None else batch_id
+    invalid.write.mode("overwrite").parquet(f"{invalid_path or invalid_rows_path(queue_path)}/batch={number}")
+
+
+def merge_into_store(
+    raw_stream: DataFrame, store: QueueStore, checkpoint_folder: str, source: str, now: Column | None = None,
+) -> StreamingQuery:
+    """Merge everything that has arrived into a queue store, then stop.
+
+    ``source`` names the stream in the ledger; give another name with a new checkpoint folder,
+    whose batches are counted from 0 again.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        store.append_batch(with_lineage(batch), source, batch_id, now)
+
+    return (
+        raw_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_folder)
+        .trigger(availableNow=True).start()
+    )
 
 
 def invalid_rows_path(queue_path: str) -> str:
@@ -82,8 +104,8 @@ def merge_stream(
 
     ``queue_path`` must exist; an empty queue will do. No other writer may be active.
     """
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        append_batch(batch, queue_path, now, invalid_path)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, queue_path, now, invalid_path, batch_id)
 
     return (
         raw_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_folder)

@@ -12,6 +12,7 @@ from perkmill.functions import announcement, casting, jsontext, measures, respon
 from perkmill.operators import aggregates, asof, joins, quality, ranking, tables
 from perkmill.operators.projection import valid_rows
 from perkmill.plans import announcements, audits, marts, parameters, queue as Q, refresh, reports, routes, staging
+from perkmill.plans.queue_store import QueueStore
 from perkmill.schemas import QUEUE, RAW
 from perkmill.session import checkpoint, shared_folder
 from perkmill.sources import readers
@@ -212,7 +213,7 @@ def request_keys(spark, sf):
 
 @query
 def response_classes(spark, sf):
-    captured = standin(spark, sf, "deliveries")
+    captured = standin(spark, sf, "all_deliveries")
     error, status, body = F.col("error"), F.col("http_status"), F.col("body")
     outcome = responses.route_status(error, status, body)
     return captured.select(
@@ -223,14 +224,14 @@ def response_classes(spark, sf):
 
 @query
 def delivery_outcomes(spark, sf):
-    return standin(spark, sf, "deliveries").select(
+    return standin(spark, sf, "all_deliveries").select(
         "activity_id", responses.delivery_outcome(F.col("error"), F.col("http_status"), F.col("body")).alias("o")
     ).select("activity_id", "o.*")
 
 
 @query
 def link_outcomes(spark, sf):
-    return announcements.link_results(standin(spark, sf, "links"))
+    return announcements.link_results(standin(spark, sf, "all_links"))
 
 
 # -- typed and validated relations ----------------------------------------------------
@@ -423,7 +424,7 @@ def full_refresh(spark, sf):
 @query
 def insert_only_merge(spark, sf):
     stored = queue(spark, sf).filter(F.col("last_error").isNotNull() | F.col("published_at").isNotNull())
-    return portable(Q.synchronise(stored, fact(spark, sf), now()))
+    return portable(Q.synchronise(stored, checkpoint(fact(spark, sf)), now()))
 
 
 @query
@@ -516,6 +517,83 @@ def stream_queue_merge(spark, sf):
     return portable(spark.read.schema(QUEUE).parquet(queue_path))
 
 
+def _store(spark, sf) -> QueueStore:
+    """The whole queue as a store."""
+    return QueueStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}").create(queue(spark, sf))
+
+
+@query
+def store_synchronise(spark, sf):
+    store = QueueStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}").create(
+        queue(spark, sf).filter(F.col("last_error").isNotNull() | F.col("published_at").isNotNull()))
+    store.synchronise(checkpoint(fact(spark, sf)), now())
+    return portable(store.read())
+
+
+@query
+def store_claim_batch(spark, sf):
+    store = _store(spark, sf)
+    store.claim(BATCH, False, now())
+    return portable(store.read())
+
+
+@query
+def store_settle_batch(spark, sf):
+    store = _store(spark, sf)
+    store.settle(standin(spark, sf, "deliveries"), standin(spark, sf, "links"), now())
+    return portable(store.read())
+
+
+@query
+def store_repair_links(spark, sf):
+    store = _store(spark, sf)
+    store.repair_links(standin(spark, sf, "links"), now())
+    return portable(store.read())
+
+
+@query
+def store_backfill(spark, sf):
+    """Backfilled through the store; read back after its log went into a new base."""
+    store = _store(spark, sf)
+    store.backfill(BATCH, now())
+    store.store.compact()
+    store.store.remove_superseded()
+    return portable(store.read())
+
+
+@query
+def store_log_rows(spark, sf):
+    """What a claim, an expiry and a repair wrote: rows by change and status."""
+    store = _store(spark, sf)
+    store.claim(BATCH, False, now())
+    store.expire_stale_claims(V.DEFAULT_STALE_MINUTES, now())
+    store.repair_links(standin(spark, sf, "links"), now())
+    return store.store.logged().groupBy("change_number", "publication_status").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def stream_ledger(spark, sf):
+    """What became of all activities that arrived, and of all of them again from a lost checkpoint."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    standin(spark, sf, "sport_activities_txt").drop("source_file", "source_row_number").write.parquet(f"{root}/arriving")
+    store = QueueStore(spark, f"{root}/queue").create()
+    for run in ("first", "replayed"):
+        stream = queue_merge.read_activity_stream(spark, f"{root}/arriving")
+        queue_merge.merge_into_store(stream, store, f"{root}/{run}", run, now()).awaitTermination()
+    return store.ledger().groupBy("source").agg(*[F.sum(c).alias(c) for c in ("arrived", "queued", "known", "invalid")])
+
+
+@query
+def boundary_of_half(spark, sf):
+    """The newest half of the pending rows stays: found by counting, no task sorts them."""
+    rows = queue(spark, sf)
+    half = rows.filter(F.col("publication_status") == V.PENDING).count() // 2
+    edge = ranking.kth_key(rows.filter(F.col("publication_status") == V.PENDING), ["activity_start_datetime", "activity_id"], half, True, 100)
+    age = F.struct("activity_start_datetime", "activity_id")
+    pending = F.col("publication_status") == V.PENDING
+    return rows.filter(pending & (age >= F.struct(*[F.lit(v) for v in edge]).cast(rows.select(age.alias("k")).schema["k"].dataType))).select("activity_id")
+
+
 @query
 def row_lineage(spark, sf):
     return table(spark, sf, "orders").select(
@@ -546,8 +624,7 @@ def _candidate_inputs(spark, sf):
 def append_responses_by_key(spark, sf):
     arrived = standin(spark, sf, "google_routes_responses_txt").withColumn(
         "request_key", F.concat(F.lit("key-"), F.col("employee_id"), F.col("google_travel_mode")))
-    stored = arrived.filter("response_http_status = 'NO_ROUTE'")
-    return append_responses(stored, arrived.filter("response_http_status = '200'"))
+    return append_responses(arrived.filter("response_http_status = 'NO_ROUTE'"), arrived)
 
 
 # -- audits ---------------------------------------------------------------------------

@@ -284,12 +284,12 @@ CTES = {
         CASE WHEN problem IS NULL THEN {path('body', 'ts')} END AS message_ts, problem AS error_message
       FROM (SELECT *, {refusal('')}
           WHEN NOT ({truthy(path('body', 'channel'))} AND {truthy(path('body', 'ts'))})
-            THEN 'SLACK_ERROR: missing_channel_or_message_ts' END AS problem FROM raw_deliveries)""",
+            THEN 'SLACK_ERROR: missing_channel_or_message_ts' END AS problem FROM raw_all_deliveries)""",
     "link": f"""SELECT activity_id, CASE WHEN problem IS NULL THEN {path('body', 'permalink')} END AS permalink,
         problem AS link_error
       FROM (SELECT *, {refusal('PERMALINK_')}
           WHEN NOT {truthy(path('body', 'permalink'))} THEN 'PERMALINK_SLACK_ERROR: missing_permalink' END AS problem
-        FROM raw_links)""",
+        FROM raw_all_links)""",
     "requests": f"""SELECT source_row_number, trim(employee_id, ' ') AS employee_id,
         trim(home_address, ' ') AS home_address, trim(commute_mode, ' ') AS declared_commute_mode, mode AS google_travel_mode,
         sha256(trim(employee_id, ' ') || '|' || trim(home_address, ' ') || '|{OFFICE}|' || trim(commute_mode, ' ')
@@ -422,7 +422,7 @@ ORACLE = {
     "response_classes": f"""SELECT activity_id, {_RESPONSE_STATUS} AS status_text,
         CASE WHEN error IS NOT NULL THEN '{{"request_error": ' || to_json(error) || '}}'
           WHEN {is_json('body')} THEN body ELSE '{{"raw_response": ' || to_json(body) || '}}' END AS payload,
-        {_RESPONSE_STATUS} NOT LIKE '2%' AS is_failure FROM raw_deliveries""",
+        {_RESPONSE_STATUS} NOT LIKE '2%' AS is_failure FROM raw_all_deliveries""",
     "delivery_outcomes": "SELECT * FROM delivery",
     "link_outcomes": "SELECT * FROM link",
 
@@ -542,8 +542,9 @@ ORACLE = {
         FROM (SELECT q.*, d.channel_id, d.message_ts, d.error_message, l.permalink, l.link_error,
             coalesce(publication_status = 'IN_PROGRESS' AND d.succeeded, false) AS sent,
             coalesce(publication_status = 'IN_PROGRESS' AND NOT d.succeeded, false) AS failed
-          FROM queue q LEFT JOIN delivery d ON d.activity_id = q.activity_id
-          LEFT JOIN link l ON l.activity_id = q.activity_id)""",
+          FROM queue q LEFT JOIN (SELECT * FROM delivery WHERE activity_id IN (SELECT activity_id FROM raw_deliveries)) d
+            ON d.activity_id = q.activity_id
+          LEFT JOIN (SELECT * FROM link WHERE activity_id IN (SELECT activity_id FROM raw_links)) l ON l.activity_id = q.activity_id)""",
     "links_to_repair": """SELECT activity_id, slack_channel_id, slack_message_ts FROM queue
         WHERE publication_status = 'PUBLISHED' AND slack_permalink IS NULL AND slack_channel_id IS NOT NULL
           AND slack_message_ts IS NOT NULL ORDER BY published_at, activity_id LIMIT 40""",
@@ -552,7 +553,8 @@ ORACLE = {
         CASE WHEN hit THEN link_error ELSE last_error END AS last_error,
         CASE WHEN hit THEN {NOW} ELSE updated_at END AS updated_at)
         FROM (SELECT q.*, l.permalink, l.link_error, publication_status = 'PUBLISHED' AND l.activity_id IS NOT NULL AS hit
-          FROM queue q LEFT JOIN link l ON l.activity_id = q.activity_id)""",
+          FROM queue q LEFT JOIN (SELECT * FROM link WHERE activity_id IN (SELECT activity_id FROM raw_links)) l
+            ON l.activity_id = q.activity_id)""",
     "full_refresh": "SELECT * FROM impact",
     "stream_queue_merge": f"""SELECT CAST(activity_id AS BIGINT) AS activity_id, employee_id, activity_start_datetime,
         sport_type, distance_meters, elapsed_seconds, activity_comment, source_system, 'PENDING' AS publication_status,
@@ -568,7 +570,7 @@ ORACLE = {
     "append_responses_by_key": f"""SELECT {_ROUTE_COLUMNS} FROM {_KEYED_ROUTES} WHERE response_http_status = 'NO_ROUTE'
         UNION ALL SELECT {_ROUTE_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY request_key
             ORDER BY requested_at, source_row_number, employee_id, response_payload_json) AS rn
-          FROM {_KEYED_ROUTES} WHERE response_http_status = '200' AND request_key NOT IN
+          FROM {_KEYED_ROUTES} WHERE request_key NOT IN
             (SELECT request_key FROM {_KEYED_ROUTES} WHERE response_http_status = 'NO_ROUTE')) WHERE rn = 1""",
 
     "audit_unique": """SELECT l_orderkey * 10 + l_linenumber AS unique_field, count(*) AS n_records FROM lineitem
@@ -591,6 +593,27 @@ ORACLE = {
 }
 
 
+ORACLE.update({
+    "store_synchronise": ORACLE["insert_only_merge"],
+    "store_claim_batch": ORACLE["claim_batch"],
+    "store_settle_batch": ORACLE["apply_delivery_results"],
+    "store_repair_links": ORACLE["apply_repaired_links"],
+    "store_backfill": ORACLE["backfill_keep_newest"],
+    "store_log_rows": f"""SELECT change_number, publication_status, count(*) AS row_count FROM (
+        SELECT 1::BIGINT AS change_number, 'IN_PROGRESS' AS publication_status FROM claimable WHERE rn <= 40
+        UNION ALL SELECT 2, 'ERROR' FROM queue WHERE publication_status = 'IN_PROGRESS' AND claimed_at < {NOW} - INTERVAL 15 MINUTE
+        UNION ALL SELECT 3, 'PUBLISHED' FROM queue WHERE publication_status = 'PUBLISHED'
+          AND activity_id IN (SELECT activity_id FROM raw_links)) GROUP BY ALL""",
+    "stream_ledger": """SELECT source, CAST(count(*) AS BIGINT) AS arrived,
+        count(*) FILTER (WHERE source = 'first' AND record_is_valid) AS queued,
+        count(*) FILTER (WHERE source = 'replayed' AND record_is_valid) AS known,
+        count(*) FILTER (WHERE NOT coalesce(record_is_valid, false)) AS invalid
+        FROM stg_sport_activities, (VALUES ('first'), ('replayed')) AS s(source) GROUP BY source""",
+    "boundary_of_half": """SELECT activity_id FROM newest_pending
+        WHERE rn <= (SELECT count(*) // 2 FROM queue WHERE publication_status = 'PENDING')""",
+})
+
+
 def _needed(sql: str) -> list[str]:
     """Common table expressions a statement uses, directly or not, in dependency order."""
     order: list[str] = []
