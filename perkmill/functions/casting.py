@@ -88,7 +88,8 @@ def _moment(spark_type: str) -> Callable[[Column], Column]:
     def cast(c: Column) -> Column:
         name = F.lower(F.substring(F.regexp_extract(c, _MONTH, 1), 1, 3))
         number = ((F.position(name, F.lit(_MONTHS)) + 3) / 4).cast("int").cast("string")
-        named = F.when(c.rlike(_MONTH), F.regexp_replace(c, F.lit(_MONTH), F.concat(F.lit(_NAMED), number))).otherwise(c)
+        # Few texts have letters, and only those are searched for a month.
+        named = F.when(c.rlike("[A-Za-z]{3}"), F.regexp_replace(c, F.lit(_MONTH), F.concat(F.lit(_NAMED), number))).otherwise(c)
         text = F.regexp_replace(named, _ANY_DAY, _AS_ISO)
         for part, reads in ((f"{_LOW}{_HIGH}-", "-"), (_LOW + _HIGH, "19"), (_LOW, "20"), (_HIGH, "")):
             text = F.replace(text, F.lit(part), F.lit(reads))

@@ -424,7 +424,7 @@ def full_refresh(spark, sf):
 @query
 def insert_only_merge(spark, sf):
     stored = queue(spark, sf).filter(F.col("last_error").isNotNull() | F.col("published_at").isNotNull())
-    return portable(Q.synchronise(stored, checkpoint(fact(spark, sf)), now()))
+    return portable(Q.synchronise(stored, _stored_fact(spark, sf), now()))
 
 
 @query
@@ -517,6 +517,14 @@ def stream_queue_merge(spark, sf):
     return portable(spark.read.schema(QUEUE).parquet(queue_path))
 
 
+def _stored_fact(spark, sf) -> DataFrame:
+    """The fact table as a stored table, which is what the queue is filled from."""
+    path = f"{shared_folder(spark)}/fact-{uuid.uuid4().hex}"
+    rows = fact(spark, sf)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _store(spark, sf) -> QueueStore:
     """The whole queue as a store."""
     return QueueStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}").create(queue(spark, sf))
@@ -526,7 +534,7 @@ def _store(spark, sf) -> QueueStore:
 def store_synchronise(spark, sf):
     store = QueueStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}").create(
         queue(spark, sf).filter(F.col("last_error").isNotNull() | F.col("published_at").isNotNull()))
-    store.synchronise(checkpoint(fact(spark, sf)), now())
+    store.synchronise(_stored_fact(spark, sf), now())
     return portable(store.read())
 
 

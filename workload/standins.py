@@ -54,7 +54,7 @@ STANDINS = {
     "sport_activities_txt": f"""
         SELECT 'orders' AS source_file, CAST(o_orderkey + 2 AS STRING) AS source_row_number,
           CAST(o_orderkey AS STRING) AS activity_id, CAST(o_custkey AS STRING) AS employee_id,
-          {{shaped:started|o_orderkey % 37}} AS activity_start_datetime,
+          {{shaped:started|o_orderkey % 149}} AS activity_start_datetime,
           CASE WHEN o_orderkey % 91 = 2 THEN '  '
                WHEN o_orderpriority = '1-URGENT' THEN 'Runing' WHEN o_orderpriority = '2-HIGH' THEN ' runing '
                WHEN o_orderpriority = '3-MEDIUM' THEN 'Tennis' WHEN o_orderpriority = '5-LOW' THEN 'Voile'
