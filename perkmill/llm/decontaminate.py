@@ -130,12 +130,17 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, text): whole texts with the hit words taken out, other characters kept."""
-    found = find_hits(docs, items, size).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_dirty"), hit_positions().alias("_hit")).groupBy("_dirty").agg(
-        F.array_distinct(F.flatten(F.collect_list("_hit"))).alias("_hit"))
+    """(doc_id, text): whole texts with the hit words taken out, other characters kept.
+
+    Rows are stored with a number each and judged by it: rows that share a doc_id, or have
+    none, lose their own hit words only. NULL texts stay NULL.
+    """
+    numbered = Scratch(docs.sparkSession, "decontaminate").store(
+        docs.select("doc_id", "text").withColumn("_number", F.monotonically_increasing_id()))
+    found = find_hits(numbered.select(F.col("_number").alias("doc_id"), "text"), items, size).where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("_dirty"), hit_positions().alias("_hit"))
     own = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    both = docs.join(found, docs["doc_id"] == F.col("_dirty"), "left").select(
+    both = numbered.join(found, F.col("_number") == F.col("_dirty"), "left").select(
         "doc_id", "text", "_hit", F.split("text", own).alias("_gaps"), F.regexp_extract_all("text", F.lit(own), F.lit(0)).alias("_words"))
     kept = F.expr("array_join(transform(_gaps, (g, i) -> concat(g, if(i < size(_words) and not array_contains(_hit, i + 1), _words[i], ''))), '')")
     return both.select("doc_id", F.when(F.col("_hit").isNotNull(), kept).otherwise(F.col("text")).alias("text"))

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -493,3 +494,54 @@ def test_pipeline_stages_on_odd_rows(odd, nothing, spark, tmp_path):
             docs = stage(spark, docs, str(tmp_path))
             assert name == "tokens" or tuple(docs.columns) == pipeline.COLUMNS
         assert docs.count() <= left
+
+
+# -- decontamination by row, classifiers' parts ---------------------------------------
+
+def test_cut_spans_judges_rows_not_ids(spark):
+    items = spark.createDataFrame([("b", "keep these three words")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "Keep these, three words"), (1, "so keep these three words here"), (None, "keep these three words!"),
+                                  (1, None), (2, "")], "doc_id long, text string")
+    other = spark.createDataFrame([(1, "three words only"), (1, "keep these three words")], "doc_id long, text string")
+    found = [r.text for r in decontaminate.cut_spans(docs, items).collect()]
+    assert sorted(map(str, found)) == sorted([" ,  ", "so     here", "   !", "None", ""])
+    assert sorted(r.text for r in decontaminate.cut_spans(other, items).collect()) == ["   ", "three words only"]
+
+
+def test_lexicon_against_plain_counting(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["haus", "baum", "katze", "hund"], k=6) + (["vile", "slurword"] if i % 3 == 0 and i % 7 else [])), int(i % 3 == 0))
+            for i in range(120)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    seen = {y: {} for y in (0, 1)}
+    for _, text, y in rows:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        for term in toxicity.terms(data, np.array([0, len(data)]))[0]:
+            seen[y][int(term)] = seen[y].get(int(term), 0) + 1
+    n = {y: sum(r[2] == y for r in rows) for y in (0, 1)}
+    expected = sorted(t for t, k in seen[1].items() if k >= toxicity.SEEN
+                      and ((k + 0.1) / n[1]) / ((seen[0].get(t, 0) + 0.1) / n[0]) >= toxicity.LIKELIER)
+    assert list(map(int, found)) == expected and expected
+
+
+def test_quality_ratios_count_fitted_texts_only():
+    texts = [np.array([2, 3]), np.array([4]), np.array([2]), np.array([5, 6])] * 3
+    labels = np.array([1, 0, 1, 0, 1, 0, 1, 1, 1, 0, 1, 0])
+    model = quality.fit(texts, labels)
+    counts = np.ones((2, quality.BUCKETS))
+    for i, (f, y) in enumerate(zip(texts, labels)):
+        if i % 4 != 3:
+            counts[y, f] += 1
+    expected = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    assert np.allclose(model.ratio, expected) and model.ratio[5] == model.ratio[6] == model.ratio[7]
+
+
+def test_equal_texts_count_once_with_the_label_of_the_smallest_id(spark):
+    from perkmill.llm.labelled import labelled_sample
+
+    docs = spark.createDataFrame([(i, "same" if i % 2 else "other") for i in range(1, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 3)) for i in range(1, 30)], "doc_id long, quality int")
+    rows = {r.text: (r.doc_id, r.label) for r in labelled_sample(docs, labels, "quality", 100).collect()}
+    kept = [i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5]
+    assert rows == {t: (first, int(first > 3)) for t, first in (
+        ("same", min(i for i in kept if i % 2)), ("other", min(i for i in kept if i % 2 == 0)))}
