@@ -14,7 +14,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     Taken are the rows with the smallest hashes of their ids. The sample of ids is broadcast,
     which ``limit`` bounds, so no text is shuffled to find the labelled ones. Rows without a
     label or text are left out; of several labels of one id the smallest counts; equal texts
-    count once.
+    count once, with the label of the smallest id.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -23,4 +23,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
         .orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(limit))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = texts.join(F.broadcast(chosen), "doc_id").where("text is not null")
-    return found.dropDuplicates(["text"])
+    return found.groupBy("text").agg(F.min(F.struct("doc_id", "label")).alias("first")).select("first.doc_id", "text", "first.label")
