@@ -48,18 +48,19 @@ def _stems(words: wordhash.Words):
         yield wordhash.mix(words.prefix_hashes(n) + np.uint64(n)) | np.uint64(1), size > n
 
 
-def lexicon(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Sorted hashes of toxic words and stems."""
-    found = []
-    for y in (0, 1):
-        mine = [t for t, label in zip(texts, labels) if label == y]
-        found.append(np.unique(np.concatenate(mine) if mine else np.zeros(0, np.uint64), return_counts=True))
-    (clean, clean_times), (toxic, times) = found
-    at = np.minimum(np.searchsorted(clean, toxic), max(len(clean) - 1, 0))
-    among_clean = np.where(clean[at] == toxic, clean_times[at], 0) if len(clean) else np.zeros(len(toxic))
-    n_toxic, n_clean = max((labels == 1).sum(), 1), max((labels == 0).sum(), 1)
-    ratio = ((times + 0.1) / n_toxic) / ((among_clean + 0.1) / n_clean)
-    return toxic[(times >= SEEN) & (ratio >= LIKELIER)]
+def lexicon(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of toxic words and stems of ``rows`` (doc_id, text, label).
+
+    Terms are counted by Spark; only those of the lexicon come to the driver, at most one for
+    every SEEN terms of the toxic texts of a bounded sample.
+    """
+    n_toxic, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
+    found = rows.select("doc_id", "text", "label").mapInArrow(_terms, "terms array<long>, label int").select(
+        F.explode("terms").alias("term"), "label").groupBy("term").agg(
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+    ratio = ((F.col("toxic") + 0.1) / max(n_toxic, 1)) / ((F.col("clean") + 0.1) / max(n - n_toxic, 1))
+    kept = found.where((F.col("toxic") >= SEEN) & (ratio >= LIKELIER)).select("term").toArrow()
+    return np.sort(kept["term"].to_numpy().view(np.uint64))
 
 
 def dense_features(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -150,12 +151,12 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = SAMPLE) -> Model:
+    """Lexicon, trees and curve from a bounded sample; which part of it a text goes to follows from its hash."""
     small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "toxicity")
     part = F.pmod(F.xxhash64("text"), F.lit(4))
     rows = scratch.store(labelled_sample(docs, labels, label, limit).select("doc_id", "text", "label", part.alias("part")).coalesce(4))
-    seen = rows.where("part < 2").select("doc_id", "text", "label").mapInArrow(_terms, "terms array<long>, label int").toPandas()
-    toxic = lexicon([np.asarray(t).view(np.uint64) for t in seen.terms], seen.label.to_numpy())
+    toxic = lexicon(rows.where("part < 2"))
     ones, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
     model = Model(toxic, share=(ones + 1) / (n + 2))
     vectors = scratch.store(_with_features(rows, toxic))
