@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,21 @@ from perkmill.session import shared_folder
 ARROW_ROWS = "256"
 
 
+# Stored steps after which what they left behind is released.
+RELEASE_EVERY = 5
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect the plans of finished steps.
+
+    Spark deletes shuffle files and broadcasts once nothing refers to them any more, which it
+    learns from the driver's garbage collector. By itself that runs when the heap is full, or
+    every half hour: many short steps would keep all their shuffle files until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Tables of one run, below the folder all executors share.
 
@@ -29,6 +45,8 @@ class Scratch:
         self.made += 1
         path = f"{self.root}/{self.made}"
         df.write.parquet(path)
+        if self.made % RELEASE_EVERY == 0:
+            release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
