@@ -464,7 +464,7 @@ ORACLE = {
             "google_routes_responses_txt", "benefit_parameters_txt")),
 
     "commute_eligibility": "SELECT * FROM commute",
-    "commute_eligibility_without_rate": commute("parameters_without_rate"),
+    "commute_eligibility_without_rate": f"SELECT * FROM ({commute('parameters_without_rate')})",
     "wellbeing_eligibility": "SELECT * FROM wellbeing",
     "impact_by_unit": "SELECT * FROM impact",
     "impact_report": """SELECT calculation_as_of_date, bonus_rate,
