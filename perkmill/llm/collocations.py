@@ -309,19 +309,18 @@ def frequent_runs(docs: DataFrame, threshold: int = THRESHOLD, slack: int = SLAC
     # More input, more hash partitions: one partition's summary has to fit into a task.
     splits = max(1, texts.rdd.getNumPartitions())
     parts = 1 << min(max((4 * splits).bit_length(), 6), 16)
-    counted = scratch.store(texts.mapInArrow(_count_words(parts), "kind int, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n")))
+    counted = texts.mapInArrow(_count_words(parts), "kind int, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n"))
+    counted = scratch.store(counted.where((F.col("n") >= threshold) | (F.col("kind") > 0)))
     masses = np.zeros((2, parts), dtype=np.int64)
     for r in counted.where("kind > 0 and n > 0").collect():  # one row per hash partition and kind
         masses[r.kind - 1, r.hash] = r.n
-    words = _known(spark, counted.where((F.col("kind") == 0) & (F.col("n") >= threshold)).select("hash"), most_known)
-    survivors, known = [], words
+    words = _known(spark, counted.where("kind = 0").select("hash"), most_known)
+    known = words
     for step, sizes in enumerate(((2,), tuple(range(3, LONGEST + 1)))):
         rooms = spark.sparkContext.broadcast(slack * masses[step] // threshold + 1)
-        summaries = scratch.store(texts.mapInArrow(_summarise(sizes, rooms, known), _SUMMARY))
+        summaries = texts.mapInArrow(_summarise(sizes, rooms, known), _SUMMARY)
         dealt = summaries.repartition("part").sortWithinPartitions("part")
-        survivors.append(scratch.store(dealt.mapInArrow(_survivors(rooms, threshold), "hash long")))
-        scratch.drop(summaries)
-        known = _known(spark, survivors[-1], most_known)
+        known = _known(spark, scratch.store(dealt.mapInArrow(_survivors(rooms, threshold), "hash long")), most_known)
         if step == 0:
             pairs = known
     exact = texts.mapInArrow(_count_exactly(words, pairs, known), "lang string, size int, phrase string, n long")
