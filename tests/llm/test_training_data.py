@@ -340,6 +340,56 @@ def test_colliding_surrogates_are_drawn_again(spark, documents, monkeypatch):
     assert len(set(numbers)) == 20 and out[20] == ("no number",) and out[21] == (None,)
 
 
+def test_full_spaces_keep_addresses_apart(documents):
+    """All addresses of one letter and one digit are taken, so replacements are longer, and distinct."""
+    real = [f"{c}@{d}.com" for c in "abcdefghijklmnopqrstuvwxyz" for d in range(10)]
+    out = by_id(surrogates.replace(documents([f"mail {' '.join(real[k::10])} now" for k in range(10)]), key="k"), "text")
+    made = {m: out[k][0].split()[1:-1][i] for k in range(10) for i, m in enumerate(real[k::10])}
+    assert len(set(made.values())) == 260 and not set(made.values()) & set(real)
+    assert all(re.fullmatch(r"[a-z]{2,4}@\d\.com", m) for m in made.values())
+    assert len({(a.split("@")[1], m.split("@")[1]) for a, m in made.items()}) == 10
+
+
+def test_permutations_are_one_to_one(spark):
+    F = surrogates.F
+    rows = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("t"), F.concat(F.lit("10.0."), (F.col("id") / 256).cast("int"), F.lit("."), F.col("id") % 256).alias("ip"))
+    made = rows.select(surrogates.permuted(F.col("t"), F.lit("seed")).alias("t"), surrogates.permuted_ip(F.col("ip"), F.lit("seed")).alias("ip")).collect()
+    assert {r.t for r in made} == {f"{k:03d}" for k in range(1000)}
+    assert len({r.ip for r in made}) == 1000 and all(0 <= int(n) < 256 for r in made for n in r.ip.split("."))
+
+
+def test_later_mentions_of_a_name(documents):
+    texts = ["Mr Adam Stone came. Adam Stone left. Stone is rich, Stone's dog too; Stones are not. Mr Stone's car.",
+             "Adam Stone without a title", "Mrs Stone and Dr Adam Stone"]
+    out = by_id(surrogates.replace(documents(texts), key="k"), "text", "_surrogates")
+    text = out[0][0]
+    given, family = re.match(r"Mr (\w+) (\w+) came", text).groups()
+    assert text == f"Mr {given} {family} came. {given} {family} left. {family} is rich, {family}'s dog too; Stones are not. Mr {family}'s car."
+    assert out[1] == (texts[1], None) and re.match(rf"Mrs {family} and Dr \w+ {family}$", out[2][0])
+
+
+def test_check_digits_stay_right_or_wrong(documents):
+    def luhn(n):
+        return sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(n))) % 10 == 0
+
+    def mod97(n):
+        return int("".join(str(int(c, 36)) for c in n[4:] + n[:4])) % 97 == 1
+
+    out = by_id(surrogates.replace(documents(["card 4012 8888 8888 1881", "card 4012 8888 8888 1882", "to GB82 WEST 1234 5698 7654 32", "to GB83 WEST 1234 5698 7654 32"]), key="k"), "text")
+    plain = ["".join(out[k][0].split()[1:]) for k in range(4)]
+    assert luhn(plain[0]) and not luhn(plain[1]) and mod97(plain[2]) and not mod97(plain[3])
+    assert re.fullmatch(r"to GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", out[2][0]) and "4012" not in out[0][0]
+
+
+def test_crowded_family_names_stay_apart(documents, monkeypatch):
+    """Two syllables make 4 ** 4 family names; 300 of them need further draws, more than a literal holds."""
+    monkeypatch.setitem(surrogates._SYLLABLES, "latin", "ba be bi bo")
+    monkeypatch.setattr(surrogates, "MOST_LITERALS", 5)
+    texts = ["Mr " + "X" + "".join("aeiourst"[(k >> s) % 8] for s in (0, 3, 6)) + " came" for k in range(300)]
+    out = by_id(surrogates.replace(documents(texts), key="k"), "text")
+    assert len({out[k][0] for k in range(300)}) == 300 and not {out[k][0] for k in range(300)} & set(texts)
+
+
 def test_surrogates_on_odd_rows(odd, nothing):
     rows = surrogates.replace(odd)
     assert rows.drop("_surrogates").exceptAll(odd).count() == 0 and rows.count() == odd.count()
