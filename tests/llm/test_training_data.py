@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import random
@@ -510,6 +511,69 @@ def test_held_out_accuracy(spark, name):
     assert rows.where(f"predicted = {name}").count() / rows.count() > 0.97
 
 
+MESSAGES = "conv_id long, turn long, role string, text string"
+
+
+def test_quotes_come_from_the_nearest_holder(spark):
+    rows = [(1, 0, "u", "ok"), (1, 1, "u", "other"), (1, 2, "u", "ok"), (1, 3, "u", "> ok"),
+            (2, 0, "u", "yes\nlet us meet on Monday"), (2, 1, "u", "yes"), (2, 2, "u", "fine\n> yes\n> let us\n> meet on Monday"),
+            (2, 3, "u", "no\n> fine\n> On Monday b wrote:\n>> yes let us meet on Monday"),
+            (3, 5, "u", "one\ntwo\nthree"), (3, 6, "u", "two"), (3, 3000, "u", "late\n> one\n> two\n> changed"), (4, 1, "u", "> later"), (4, 2, "u", "later")]
+    found = {(r.conv_id, r.turn): (r.n_quoted, r.n_linked, r.reply_to, r.root_turn) for r in quotes.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert found[(1, 3)] == (1, 1, 2, 2)
+    assert found[(2, 2)] == (3, 3, 0, 0)
+    assert found[(2, 3)] == (2, 2, 2, 0)
+    assert found[(3, 3000)] == (3, 2, 6, 6)
+    assert found[(4, 1)] == (1, 0, None, 1)
+
+
+def test_quotes_match_plain_search(spark, monkeypatch):
+    """Random conversations of few different lines, with blocks of three turns, against a search of all earlier messages."""
+    monkeypatch.setattr(quotes, "BLOCK_TURNS", 3)
+    rng = random.Random(8)
+    rows = [(c, t, "u", "\n".join(rng.choice(["", "", "> ", ">> "]) + rng.choice(["a", "b c", "B  C", "d", ""]) for _ in range(rng.randint(0, 6))))
+            for c in range(12) for t in rng.sample(range(20), 9)]
+    norm = lambda lines: " ".join(" ".join(lines).lower().split())
+
+    def runs(text):
+        for level, run in itertools.groupby(enumerate(text.split("\n")), key=lambda x: len(re.match(r">*", x[1]).group())):
+            yield level, [(i, line.lstrip("> ")) for i, line in run]
+
+    def paragraphs(run):
+        return [list(p) for full, p in itertools.groupby(run, key=lambda x: bool(x[1].strip())) if full]
+
+    def held(text):
+        own = [run for level, run in runs(text) if level == 0]
+        pieces = [sum(own, [])] + own + [p for run in own for p in paragraphs(run)] + [[x] for run in own for x in run]
+        return {norm(x for _, x in piece) for piece in pieces} - {""}
+
+    expected = {}
+    for c, t, _, text in rows:
+        earlier = sorted(((u, held(other)) for d, u, _, other in rows if d == c and u < t), reverse=True, key=lambda x: x[0])
+        votes = {}
+        for level, run in runs(text):
+            for p in paragraphs(run) if level else []:
+                for line in p:
+                    for rank, piece in enumerate((run, p, [line])):
+                        source = next((u for u, has in earlier if norm(x for _, x in piece) in has), None)
+                        if source is not None:
+                            votes[(-level, -rank, source)] = votes.get((-level, -rank, source), 0) + 1
+                            break
+        best = max(((v, r, n, u) for (v, r, u), n in votes.items()), default=(0, 0, 0, None))
+        expected[(c, t)] = (sum(votes.values()), best[3])
+    got = {(r.conv_id, r.turn): (r.n_linked, r.reply_to) for r in quotes.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert got == expected and sum(v[1] is not None for v in expected.values()) > 20
+
+
+def test_quotes_on_odd_rows(spark):
+    rows = [(1, 0, "u", LONG), (1, 1, None, "> " + LONG), (1, 1, None, "> " + LONG), (1, None, "u", "> x"), (None, 1, "u", "> x"), (2, 0, "u", None),
+            (2, 1, "u", ""), (2, 2, "u", ">"), (2, 3, "u", "> \n>> ")]
+    wide = spark.createDataFrame(rows, MESSAGES).selectExpr("*", "1 as level", "2 as hash", "3 as source", "'x' as lines")
+    out = [(r.conv_id, r.turn, r.n_linked, r.reply_to) for r in quotes.link_quotes(wide).collect()]
+    assert len(out) == len(rows) and out.count((1, 1, 2, 0)) == 2
+    assert all(r[2:] == (0, None) for r in out if r[:2] != (1, 1))
+
+
 def test_quotes_are_linked_and_removed(spark):
     rows = [(1, 0, "u", "Hello there\nHow are you?"), (1, 1, "a", "Fine.\n\nOn Monday u wrote:\n> Hello there\n>  How are  YOU?"),
             (1, 2, "u", "Good\n> Fine.\n>> Hello there\n> > How are you?\n> never said"), (1, 3, "b", "Late\n> hello there"),
