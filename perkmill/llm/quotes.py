@@ -135,19 +135,25 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 def _roots(parents: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv_id, turn, root_turn, depth) of messages that answer one, by doubling the steps.
 
-    A message always answers an earlier one, so there are no rings.
+    A message always answers an earlier one, so there are no rings. Messages that have reached
+    their root are set aside; only the others are joined again, so a few long conversations
+    do not make all messages take part in every round.
     """
-    state = scratch.store(parents.select("conv_id", "turn", F.col("reply_to").alias("root_turn"), F.lit(1).cast("long").alias("depth")))
+    climbing = scratch.store(parents.select("conv_id", "turn", F.col("reply_to").alias("root_turn"), F.lit(1).cast("long").alias("depth")))
+    settled = None
     for _ in range(MOST_ROUNDS):
-        up = state.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("up"), F.col("depth").alias("more"))
-        following = scratch.store(state.join(up, ["conv_id", "root_turn"], "left").select(
+        known = climbing.withColumn("open", F.lit(True))
+        if settled is not None:
+            known = known.unionByName(settled.withColumn("open", F.lit(False)))
+        up = known.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("up"), F.col("depth").alias("more"), "open")
+        moved = scratch.store(climbing.join(up, ["conv_id", "root_turn"], "left").select(
             "conv_id", "turn", F.coalesce("up", "root_turn").alias("root_turn"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("up").isNotNull().alias("moved")))
-        moved = following.where("moved").isEmpty()
-        scratch.drop(state)
-        state = following.drop("moved")
-        if moved:
-            return state
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("open", F.lit(False)).alias("open")))
+        arrived = moved.where(~F.col("open")).drop("open")
+        settled = arrived if settled is None else settled.unionByName(arrived)
+        climbing = moved.where("open").drop("open")
+        if climbing.isEmpty():
+            return settled
     raise RuntimeError("reply chains are too long")
 
 

@@ -565,6 +565,12 @@ def test_quotes_match_plain_search(spark, monkeypatch):
     assert got == expected and sum(v[1] is not None for v in expected.values()) > 20
 
 
+def test_long_reply_chains(spark):
+    rows = [(1, t, "u", f"own {t}" + (f"\n> own {t - 1}" if t else "")) for t in range(70)] + [(2, t, "u", f"own {t}" + ("\n> own 0" if t else "")) for t in range(5)]
+    found = {(r.conv_id, r.turn): (r.root_turn, r.depth) for r in quotes.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert found == {(1, t): (0, t) for t in range(70)} | {(2, t): (0, min(t, 1)) for t in range(5)}
+
+
 def test_quotes_on_odd_rows(spark):
     rows = [(1, 0, "u", LONG), (1, 1, None, "> " + LONG), (1, 1, None, "> " + LONG), (1, None, "u", "> x"), (None, 1, "u", "> x"), (2, 0, "u", None),
             (2, 1, "u", ""), (2, 2, "u", ">"), (2, 3, "u", "> \n>> ")]
