@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill.functions.rules import holds
 
+AUDIT = "audit"
+
 
 @dataclass(frozen=True)
 class Audit:
@@ -64,6 +66,18 @@ def unique(name: str, relation: str, column: str, severity: str = "warn") -> Aud
     return Audit(name, relation, lambda df: repeated(df, column), None, severity)
 
 
+def tagged_failures(df: DataFrame, audits: Sequence[Audit]) -> DataFrame:
+    """Rows that break the rules of ``audits``, once for each broken rule, named in ``audit``.
+
+    All rules are tested in one pass over ``df``; a row that breaks none leaves it at once.
+    Only for audits that look at rows one by one.
+    """
+    if AUDIT in df.columns:
+        raise ValueError(f"{AUDIT} is the column that names the broken rule")
+    broken = F.array_compact(F.array(*[F.when(~holds(a.passes()), F.lit(a.name)) for a in audits]))
+    return df.withColumn(AUDIT, F.explode(broken))
+
+
 def failure_counts(df: DataFrame, audits: list[Audit]) -> DataFrame:
     """One row with the number of failing rows of each audit, in one pass over ``df``."""
     row_tests = [F.count_if(~holds(a.passes())).alias(a.name) for a in audits if a.passes]

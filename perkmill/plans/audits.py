@@ -7,13 +7,17 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from perkmill.functions.casting import keeps_number
-from perkmill.operators.quality import Audit, failure_counts, is_true, not_null, row_rule, unique, valid_records
+from perkmill.operators.quality import (
+    AUDIT, Audit, failure_counts, is_true, not_null, row_rule, tagged_failures, unique, valid_records,
+)
 from perkmill.plans.marts import bonus_amount
 from perkmill.schemas import AMOUNT, RATE
-from perkmill.sources.snapshots import Snapshot
+from perkmill.sources.snapshots import (
+    Snapshot, read_table, register_layer, register_partitioned, register_view, table_path,
+)
 
 CONCURRENT_AUDITS = 4
 
@@ -83,36 +87,83 @@ class AuditFailure(RuntimeError):
 
 def run_audits(relations: Mapping[str, DataFrame], audits: Sequence[Audit] = MODEL_AUDITS) -> list[AuditResult]:
     """Count failing rows: one job per relation, however many audits it has."""
-    by_relation: dict[str, list[Audit]] = defaultdict(list)
-    for audit in audits:
-        by_relation[audit.relation].append(audit)
     results = []
-    for relation, checks in by_relation.items():
+    for relation, checks in by_relation(audits).items():
         counts = failure_counts(relations[relation], checks).first()
         results += [AuditResult(a.name, a.severity, counts[a.name]) for a in checks]
     return results
 
 
+def failures_table(relation: str) -> str:
+    return f"{relation}_failures"
+
+
+def by_relation(audits: Sequence[Audit]) -> dict[str, list[Audit]]:
+    grouped: dict[str, list[Audit]] = defaultdict(list)
+    for audit in audits:
+        grouped[audit.relation].append(audit)
+    return dict(grouped)
+
+
 def store_failures(
     snapshot: Snapshot, relations: Mapping[str, DataFrame], audits: Sequence[Audit] = MODEL_AUDITS,
 ) -> list[AuditResult]:
-    """Write the failing rows of every audit as a table of its own and report their number.
-
-    Rows are counted in the stored tables, so a typed relation is worked out once. Audits
-    that found nothing leave an empty table. A ``warn`` audit never stops the run; an
-    ``error`` audit does, once everything is stored.
+    """Store what every audit finds and report the number of failing rows.
+
+    The rules of a relation are tested in one pass over it, so it is worked out once. Its
+    failing rows go to one table (``failures_table``) with a partition for each broken rule;
+    a row that breaks two rules is in both. Repeated keys have columns of their own and go to
+    a table named after their audit, from a pass over the key alone. Rows are counted in the
+    stored tables. A ``warn`` audit never stops the run; an ``error`` audit does, once
+    everything is stored.
     """
-    def store(audit: Audit) -> AuditResult:
-        stored = snapshot.write(audit.name, audit.failures(relations[audit.relation]))
-        return AuditResult(audit.name, audit.severity, stored.count())
+    def store_rules(relation: str, rules: Sequence[Audit]) -> dict[str, int]:
+        found = tagged_failures(relations[relation], rules)
+        # The failing rows of a rule are brought together, so that they make few files.
+        stored = snapshot.write(failures_table(relation), found.hint("rebalance", F.col(AUDIT)), partition_by=[AUDIT])
+        counts = dict.fromkeys((a.name for a in rules), 0)
+        return counts | {r[AUDIT]: r["count"] for r in stored.groupBy(AUDIT).count().collect()}
 
+    def store_repeated(audit: Audit) -> dict[str, int]:
+        return {audit.name: snapshot.write(audit.name, audit.failures(relations[audit.relation])).count()}
+
+    rules = by_relation([a for a in audits if a.passes])
     # Most audits are small jobs: a few at a time keep the cluster busy.
     with ThreadPoolExecutor(CONCURRENT_AUDITS) as pool:
-        results = list(pool.map(store, audits))
+        jobs = [pool.submit(store_rules, relation, checks) for relation, checks in rules.items()]
+        jobs += [pool.submit(store_repeated, a) for a in audits if not a.passes]
+        counts = {name: n for job in jobs for name, n in job.result().items()}
+    results = [AuditResult(a.name, a.severity, counts[a.name]) for a in audits]
     enforce(results)
     return results
 
 
+def stored_failures(
+    spark: SparkSession, root: str, audit: Audit, relation: DataFrame, version: int | None = None,
+) -> DataFrame:
+    """What ``audit`` found in a version of ``root`` (the newest by default), as stored.
+
+    ``relation`` is only asked for its columns. One partition is read.
+    """
+    if not audit.passes:
+        return read_table(spark, root, audit.name, version)
+    schema = T.StructType([*relation.schema.fields, T.StructField(AUDIT, T.StringType())])
+    path = table_path(spark, root, failures_table(audit.relation), version)
+    return spark.read.schema(schema).parquet(path).filter(F.col(AUDIT) == audit.name).drop(AUDIT)
+
+
+def register_failures(snapshot: Snapshot, relations: Mapping[str, DataFrame], audits: Sequence[Audit], layer: str = "audit") -> None:
+    """Make what every audit found queryable as ``layer.<audit>``."""
+    spark = snapshot.spark
+    register_layer(spark, layer, {a.name: snapshot.path(a.name) for a in audits if not a.passes})
+    for relation, checks in by_relation([a for a in audits if a.passes]).items():
+        table, columns = failures_table(relation), relations[relation].schema
+        register_partitioned(spark, layer, table, snapshot.path(table), columns, AUDIT)
+        shown = ", ".join(f"`{c}`" for c in columns.names)
+        for audit in checks:
+            register_view(spark, layer, audit.name, f"SELECT {shown} FROM `{layer}`.`{table}` WHERE {AUDIT} = '{audit.name}'")
+
+
 def enforce(results: Sequence[AuditResult]) -> None:
     broken = [f"{r.name}: {r.failing_rows}" for r in results if r.severity == "error" and r.failing_rows]
     if broken:

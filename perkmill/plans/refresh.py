@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkmill.plans import marts, staging
-from perkmill.plans.audits import MODEL_AUDITS, RANGE_AUDITS, AuditResult, store_failures
+from perkmill.plans.audits import MODEL_AUDITS, RANGE_AUDITS, AuditResult, register_failures, store_failures
 from perkmill.sources.snapshots import Snapshot, register_layer
 
 # Typed relations: model name, raw relation, plan.
@@ -20,6 +20,8 @@ STAGING_MODELS = (
     ("config_benefit_parameters", "benefit_parameters_txt", staging.benefit_parameters),
 )
 
+ALL_AUDITS = (*MODEL_AUDITS, *RANGE_AUDITS)
+
 
 def stage(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five typed relations, not computed yet."""
@@ -82,11 +84,10 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
             "mart_wellbeing_eligibility": well,
             "mart_benefits_impact_by_business_unit": impact,
         }
-        results = store_failures(audit_tables, {**staged, **tables}, MODEL_AUDITS)
-        ranges = store_failures(audit_tables, staged, RANGE_AUDITS)
+        results = store_failures(audit_tables, {**staged, **tables}, ALL_AUDITS)
     if register:
         for name, df in staged.items():
             df.createOrReplaceTempView(name)
         register_layer(spark, "marts", {name: stored.path(name) for name in tables})
-        register_layer(spark, "audit", {a.name: audit_tables.path(a.name) for a in (*MODEL_AUDITS, *RANGE_AUDITS)})
-    return RefreshResult(stored.version, tables, results, ranges)
+        register_failures(audit_tables, {**staged, **tables}, ALL_AUDITS)
+    return RefreshResult(stored.version, tables, results[:len(MODEL_AUDITS)], results[len(MODEL_AUDITS):])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _PREFIX, _COMMITTED, _CLAIMED = "v=", "_COMMITTED", "_CLAIMED"
 
@@ -132,6 +133,24 @@ def register_layer(spark: SparkSession, layer: str, paths: Mapping[str, str]) ->
             spark.catalog.recoverPartitions(name)
 
 
+def register_partitioned(spark: SparkSession, layer: str, table: str, path: str, columns: StructType, partition: str) -> None:
+    """Make a table with one text partition column queryable, even if it has no rows and thus no files."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    name = f"`{layer}`.`{table}`"
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({listed}, `{partition}` string) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(name)
+
+
+def register_view(spark: SparkSession, layer: str, view: str, query: str) -> None:
+    """Make a query readable as ``layer.view``, in place of a table or view of that name."""
+    name = f"`{layer}`.`{view}`"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def overwrite_source_files(df: DataFrame, path: str) -> None:
     """Replace only the partitions of the source files found in ``df``; others stay."""
     (

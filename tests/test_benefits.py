@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from perkmill import vocabulary as V
 from perkmill.plans import marts, parameters, refresh, reports
-from perkmill.plans.audits import run_audits
+from perkmill.operators.quality import is_true, not_null, tagged_failures
+from perkmill.plans.audits import run_audits, stored_failures
 from perkmill.sources.readers import initial_parameters
-from perkmill.sources.snapshots import read_table
+from perkmill.sources.snapshots import Snapshot, read_table
 
 WALK, CYCLE = V.WALKING_MODE, V.CYCLING_MODE
 
@@ -185,3 +186,44 @@ def test_revisions(spark):
     for bad in ("0.001", "1.5"):
         with pytest.raises(ValueError):
             parameters.check_rate(bad)
+
+
+def test_failing_rows_are_stored_in_one_pass_over_a_relation(spark, raw, models, tmp_path, monkeypatch):
+    """Every typed relation is worked out by one plan, however many rules it has; rules without failing rows can be read."""
+    root, plans = str(tmp_path), {}
+    write = Snapshot.write
+
+    def recorded(self, table, df, partition_by=()):
+        plans[table] = df
+        return write(self, table, df, partition_by)
+
+    monkeypatch.setattr(Snapshot, "write", recorded)
+    extra = raw["hr_employees_txt"].limit(1).withColumns(
+        {"gross_salary": F.lit("1" + "0" * 39), "employee_id": F.lit("x"), "source_row_number": F.lit("999")})
+    inputs = {**raw, "hr_employees_txt": raw["hr_employees_txt"].unionByName(extra)}
+    result = refresh.refresh(spark, inputs, root, register=True)
+    relations = {**refresh.stage(inputs), **result.tables}
+    for relation in refresh.stage(inputs):
+        written = [name for name in plans if name.startswith(relation)]
+        assert written == ([] if relation == "stg_google_routes_responses" else [f"{relation}_failures"])
+    counts = {r.name: r.failing_rows for r in (*result.audits, *result.range_audits)}
+    for audit in refresh.ALL_AUDITS:
+        found = stored_failures(spark, f"{root}/audit", audit, relations[audit.relation])
+        expected = audit.failures(relations[audit.relation])
+        assert found.columns == expected.columns, audit.name
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())), audit.name
+        assert spark.table(f"audit.{audit.name}").count() == counts[audit.name] == found.count(), audit.name
+    both = [spark.sql(f"SELECT source_row_number_raw FROM audit.stg_hr_employees_{n} WHERE source_row_number_raw = '999'").count()
+            for n in ("invalid_records", "numbers_kept")]
+    assert both == [1, 1]
+
+
+def test_rows_tagged_by_broken_rules(spark):
+    rows = spark.createDataFrame([(1, 1), (None, 5), (-1, None)], "a int, b int")
+    rules = [not_null("a_given", "r", "a"), is_true("a_positive", "r", "a > 0"), is_true("b_small", "r", "b < 3")]
+    tagged = tagged_failures(rows, rules)
+    assert sorted((str(r.a), r.audit) for r in tagged.collect()) == [
+        ("-1", "a_positive"), ("-1", "b_small"), ("None", "a_given"), ("None", "a_positive"), ("None", "b_small")]
+    with pytest.raises(ValueError):
+        tagged_failures(tagged, rules)
+    assert tagged_failures(rows.limit(0), rules).count() == 0

@@ -695,6 +695,24 @@ def model_audit_counts(spark, sf):
     return result
 
 
+@query
+def stored_audit_rows(spark, sf):
+    """Every failing row of a whole run, read back from the stored audit tables."""
+    root = f"{shared_folder(spark)}/audited-{uuid.uuid4().hex}"
+    inputs = raw(spark, sf)
+    result = refresh.refresh(spark, inputs, root)
+    models = {**refresh.stage(inputs), **result.tables}
+    parts = []
+    for audit in refresh.ALL_AUDITS:
+        found = audits.stored_failures(spark, f"{root}/audit", audit, models[audit.relation])
+        key = next(c for c in ("unique_field", "source_row_number_raw", "employee_id", "business_unit") if c in found.columns)
+        parts.append(found.select(F.lit(audit.name).alias("audit"), F.col(key).cast("string").alias("row_key")))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 @query
 def range_audit_rows(spark, sf):
     """Rows whose numbers 38 digits cannot hold."""

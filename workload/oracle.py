@@ -323,39 +323,67 @@ def _backfilled(where: str) -> str:
       FROM (SELECT q.*, q.activity_id IN ({where}) AS hit FROM queue q)"""
 
 
+# Tests that rows must pass, by relation; a relation without a test must not repeat an employee.
+COUNTS = ("active_commute_declared_employee_count", "employee_with_valid_route_count", "commute_bonus_eligible_employee_count",
+          "annual_commute_bonus_gross", "wellbeing_eligible_employee_count", "awarded_wellbeing_days",
+          "employee_with_at_least_one_benefit_count", "employee_with_both_benefits_count")
+AUDITS = {
+    "stg_hr_employees_invalid_records": ("stg_hr_employees", "record_is_valid"),
+    "stg_employee_sport_profile_invalid_records": ("stg_employee_sport_profile", "record_is_valid"),
+    "stg_sport_activities_invalid_records": ("stg_sport_activities", "record_is_valid"),
+    "mart_wellbeing_employee_id_unique": ("wellbeing", None),
+    "mart_wellbeing_employee_id_not_null": ("wellbeing", "employee_id IS NOT NULL"),
+    "mart_wellbeing_eligibility_matches_activity_threshold": (
+        "wellbeing", "is_wellbeing_eligible = (activity_count_last_12_months >= wellbeing_activity_threshold)"),
+    "mart_wellbeing_days_match_eligibility": (
+        "wellbeing", "awarded_wellbeing_days = CASE WHEN is_wellbeing_eligible THEN wellbeing_days ELSE 0 END"),
+    "mart_commute_bonus_employee_id_unique": ("commute", None),
+    "mart_commute_bonus_employee_id_not_null": ("commute", "employee_id IS NOT NULL"),
+    "mart_commute_bonus_flag_matches_reason": ("commute", "is_commute_bonus_eligible = (eligibility_reason = 'ELIGIBLE')"),
+    "mart_commute_bonus_amount_matches_eligibility": (
+        "commute", f"{unscaled('annual_commute_bonus_gross')} = CASE WHEN is_commute_bonus_eligible THEN ({unscaled('gross_salary')}"
+        f" * {unscaled('bonus_rate')} + 5000000000000000000000) // 10000000000000000000000 ELSE 0 END"),
+    "mart_commute_bonus_eligible_employee_has_valid_route": (
+        "commute", "NOT is_commute_bonus_eligible OR (is_active_commute_declared AND has_valid_route"
+        " AND route_distance_km <= maximum_authorized_distance_km)"),
+    "mart_benefits_impact_calculation_date_not_null": ("impact", "calculation_as_of_date IS NOT NULL"),
+    "mart_benefits_impact_business_unit_not_null": ("impact", "business_unit IS NOT NULL"),
+    "mart_benefits_impact_counts_and_amounts_are_non_negative": (
+        "impact", f"employee_count > 0 AND least({', '.join(COUNTS)}) >= 0"),
+}
+
+
 def _audit_counts() -> str:
-    def count(name: str, relation: str, test: str) -> str:
+    def count(name: str, relation: str, test: str | None) -> str:
+        if test is None:
+            return f"""SELECT '{name}' AS audit, count(*) AS failing_rows FROM (SELECT employee_id FROM {relation}
+              WHERE employee_id IS NOT NULL GROUP BY employee_id HAVING count(*) > 1)"""
         return f"SELECT '{name}' AS audit, count(*) AS failing_rows FROM {relation} WHERE NOT coalesce({test}, false)"
 
-    def repeats(name: str, relation: str) -> str:
-        return f"""SELECT '{name}', count(*) FROM (SELECT employee_id FROM {relation}
-          WHERE employee_id IS NOT NULL GROUP BY employee_id HAVING count(*) > 1)"""
-
-    return " UNION ALL ".join([
-        count("stg_hr_employees_invalid_records", "stg_hr_employees", "record_is_valid"),
-        count("stg_employee_sport_profile_invalid_records", "stg_employee_sport_profile", "record_is_valid"),
-        count("stg_sport_activities_invalid_records", "stg_sport_activities", "record_is_valid"),
-        repeats("mart_wellbeing_employee_id_unique", "wellbeing"),
-        count("mart_wellbeing_employee_id_not_null", "wellbeing", "employee_id IS NOT NULL"),
-        count("mart_wellbeing_eligibility_matches_activity_threshold", "wellbeing",
-              "is_wellbeing_eligible = (activity_count_last_12_months >= wellbeing_activity_threshold)"),
-        count("mart_wellbeing_days_match_eligibility", "wellbeing",
-              "awarded_wellbeing_days = CASE WHEN is_wellbeing_eligible THEN wellbeing_days ELSE 0 END"),
-        repeats("mart_commute_bonus_employee_id_unique", "commute"),
-        count("mart_commute_bonus_employee_id_not_null", "commute", "employee_id IS NOT NULL"),
-        count("mart_commute_bonus_flag_matches_reason", "commute",
-              "is_commute_bonus_eligible = (eligibility_reason = 'ELIGIBLE')"),
-        count("mart_commute_bonus_amount_matches_eligibility", "commute",
-              f"{unscaled('annual_commute_bonus_gross')} = CASE WHEN is_commute_bonus_eligible THEN ({unscaled('gross_salary')}"
-              f" * {unscaled('bonus_rate')} + 5000000000000000000000) // 10000000000000000000000 ELSE 0 END"),
-        count("mart_commute_bonus_eligible_employee_has_valid_route", "commute",
-              "NOT is_commute_bonus_eligible OR (is_active_commute_declared AND has_valid_route"
-              " AND route_distance_km <= maximum_authorized_distance_km)"),
-        count("mart_benefits_impact_calculation_date_not_null", "impact", "calculation_as_of_date IS NOT NULL"),
-        count("mart_benefits_impact_business_unit_not_null", "impact", "business_unit IS NOT NULL"),
-        count("mart_benefits_impact_counts_and_amounts_are_non_negative", "impact",
-              "employee_count > 0 AND annual_commute_bonus_gross >= 0 AND awarded_wellbeing_days >= 0"),
-    ])
+    return " UNION ALL ".join(count(name, *audit) for name, audit in AUDITS.items())
+
+
+def _out_of_range(relation: str, column: str) -> str:
+    return f"""FROM {relation} WHERE {shaped(column + '_raw', NUMBER, 'true')} AND ({column} IS NULL
+      OR coalesce(TRY_CAST({column}_raw AS DECIMAL(38,20)) <> TRY_CAST({column} AS DECIMAL(38,20)), false))"""
+
+
+NUMBERS = {"stg_hr_employees": "gross_salary", "stg_sport_activities": "distance_meters", "config_benefit_parameters": "parameter_value"}
+
+
+def _audit_rows() -> str:
+    keys = {"wellbeing": "employee_id", "commute": "employee_id", "impact": "business_unit"}
+
+    def rows(name: str, relation: str, test: str | None) -> str:
+        key = f"CAST({keys.get(relation, 'source_row_number_raw')} AS VARCHAR) AS row_key"
+        if test is None:
+            return f"""SELECT '{name}' AS audit, {key} FROM {relation} WHERE employee_id IS NOT NULL
+              GROUP BY employee_id HAVING count(*) > 1"""
+        return f"SELECT '{name}' AS audit, {key} FROM {relation} WHERE NOT coalesce({test}, false)"
+
+    return " UNION ALL ".join([*[rows(name, *audit) for name, audit in AUDITS.items()], *[
+        f"SELECT '{relation}_numbers_kept', source_row_number_raw {_out_of_range(relation, column)}"
+        for relation, column in NUMBERS.items()]])
 
 
 def _queue_audits() -> str:
@@ -583,13 +611,12 @@ ORACLE = {
     "audit_duplicate_profiles": """SELECT employee_id AS unique_field, count(*) AS n_records FROM wellbeing
         WHERE employee_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "model_audit_counts": _audit_counts(),
+    "stored_audit_rows": _audit_rows(),
     "queue_audit_counts": _queue_audits(),
     "range_audit_rows": " UNION ALL ".join(
-        f"""SELECT '{relation}' AS relation, source_row_number_raw, {column}_raw AS number_text FROM {relation}
-        WHERE {shaped(column + '_raw', NUMBER, 'true')} AND ({column} IS NULL
-          OR coalesce(TRY_CAST({column}_raw AS DECIMAL(38,20)) <> TRY_CAST({column} AS DECIMAL(38,20)), false))"""
-        for relation, column in (("stg_hr_employees", "gross_salary"), ("stg_sport_activities", "distance_meters"),
-                                 ("history", "parameter_value"))).replace("'history'", "'config_benefit_parameters'"),
+        f"SELECT '{relation}' AS relation, source_row_number_raw, {column}_raw AS number_text "
+        + _out_of_range("history" if relation == "config_benefit_parameters" else relation, column)
+        for relation, column in NUMBERS.items()),
 }
 
 
