@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F, types as T
 
-from perkmill.functions.jsontext import is_json_document
+from perkmill.functions.jsontext import is_json_value
 from perkmill.functions.text import clean_text
 from perkmill.schemas import AMOUNT
 
@@ -123,7 +123,7 @@ def safe_cast(c: Column, target: str | T.DecimalType) -> Column:
         return clean_text(c)
     if target == "jsonb":
         text = clean_text(c)
-        return F.when(is_json_document(text), text)
+        return F.when(is_json_value(text), text)
     if target == "numeric":
         target = AMOUNT
     if isinstance(target, T.DecimalType):

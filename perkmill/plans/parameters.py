@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from perkmill import vocabulary as V
 from perkmill.functions.text import clean_text
+from perkmill.operators.quality import Audit, row_rule
 from perkmill.operators.tables import assign_where, replace_by_source_file
 from perkmill.schemas import RAW
 
@@ -21,6 +22,13 @@ def check_rate(rate: Decimal | str) -> Decimal:
     return value
 
 
+def rate_bounds(relation: str = "config_benefit_parameters") -> Audit:
+    """Versions of the bonus rate must lie within its bounds; other parameters pass."""
+    low, high = map(Decimal, V.RATE_BOUNDS)
+    is_rate = lambda: F.coalesce(F.col("parameter_name") == V.BONUS_RATE, F.lit(False))
+    return row_rule("bonus_rate_within_bounds", relation, lambda: ~is_rate() | F.col("parameter_value").between(low, high))
+
+
 def _text(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 

@@ -247,6 +247,14 @@ def store(queue: DataFrame, root: str) -> DataFrame:
     return stored
 
 
+def gate_states(queue: DataFrame) -> DataFrame:
+    """For every activity: how many others are pending, and whether ``publication_gate`` lets it pass."""
+    pending = queue.filter(_status(V.PENDING)).agg(F.count(F.lit(1)).alias("n")).scalar()
+    others = pending - F.coalesce(_status(V.PENDING), F.lit(False)).cast("long")
+    return queue.select("activity_id", "publication_status", others.alias("other_pending_count")).withColumn(
+        "is_open", F.coalesce(_status(V.PENDING), F.lit(False)) & (F.col("other_pending_count") == 0))
+
+
 def publication_gate(queue: DataFrame, activity_id: int) -> None:
     """Refuse to go on unless the activity is pending and no other one is."""
     mine = F.col("activity_id") == activity_id

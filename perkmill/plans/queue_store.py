@@ -38,6 +38,9 @@ class QueueStore:
         self.store.create(rows)
         return self
 
+    def exists(self) -> bool:
+        return self.store.exists()
+
     def read(self, *statuses: str) -> DataFrame:
         return self.store.read(*statuses)
 

@@ -21,6 +21,8 @@ STAGING_MODELS = (
 )
 
 ALL_AUDITS = (*MODEL_AUDITS, *RANGE_AUDITS)
+MART_MODELS = ("fct_sport_activities", "mart_commute_bonus_eligibility", "mart_wellbeing_eligibility",
+               "mart_benefits_impact_by_business_unit")
 
 
 def stage(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -49,6 +51,7 @@ class RefreshResult:
     tables: Mapping[str, DataFrame]
     audits: list[AuditResult]
     range_audits: list[AuditResult]
+    audit_version: int
 
 
 def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, register: bool = False) -> RefreshResult:
@@ -90,4 +93,4 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
             df.createOrReplaceTempView(name)
         register_layer(spark, "marts", {name: stored.path(name) for name in tables})
         register_failures(audit_tables, {**staged, **tables}, ALL_AUDITS)
-    return RefreshResult(stored.version, tables, results[:len(MODEL_AUDITS)], results[len(MODEL_AUDITS):])
+    return RefreshResult(stored.version, tables, results[:len(MODEL_AUDITS)], results[len(MODEL_AUDITS):], audit_tables.version)

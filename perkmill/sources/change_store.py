@@ -37,6 +37,9 @@ class ChangeStore:
     def _base_version(self) -> int | None:
         return committed_version(self.spark, f"{self.root}/base")
 
+    def exists(self) -> bool:
+        return self._base_version() is not None
+
     def _compacted(self) -> int:
         """Number of the last change that the base holds."""
         base = self._base_version()

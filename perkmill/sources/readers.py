@@ -10,7 +10,7 @@ from perkmill import vocabulary as V
 from perkmill.operators.ranking import earliest_by_key
 from perkmill.operators.joins import missing_of_batch
 from perkmill.schemas import LINEAGE, RAW, SourceSpec
-from perkmill.sources.lineage import FIRST_ROW, number_rows, with_block_position
+from perkmill.sources.lineage import FIRST_ROW, PLACE, has_block, number_rows, with_block_position
 
 
 class HeaderMismatch(ValueError):
@@ -31,32 +31,47 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
-def read_contracted(
+def scan_contracted(
     spark: SparkSession, spec: SourceSpec, path: str, format: str = "csv", multi_line: bool = False,
 ) -> DataFrame:
-    """Read a source as its raw relation: text only, lineage columns first.
+    """Read a source as text with the raw column names and the file of every row.
 
-    The header is compared eagerly; every further CSV file of a folder is compared by
-    Spark while it is read. A missing path raises. Set ``multi_line`` if quoted CSV values
-    contain line breaks: a file is then read by one task. NULL becomes empty text.
+    Parquet rows have their number; CSV rows have their block and position instead, from which
+    the number follows once the rows are stored. The header is compared eagerly; every further
+    CSV file of a folder is compared by Spark while it is read. A missing path raises. Set
+    ``multi_line`` if quoted CSV values contain line breaks: a file is then read by one task.
+    NULL becomes empty text.
     """
     if format == "parquet":
         data = spark.read.parquet(path)
         check_header(data.columns, spec)
-        position = {"source_row_number": (F.col("_metadata.row_index") + FIRST_ROW).cast("string")}
-        data = data.select("*", F.col("_metadata.file_name").alias("source_file"), *[
-            c.alias(n) for n, c in position.items()
-        ])
+        lineage = list(LINEAGE)
+        data = data.select("*", F.col("_metadata.file_name").alias("source_file"),
+                           (F.col("_metadata.row_index") + FIRST_ROW).cast("string").alias("source_row_number"))
     elif format == "csv":
         check_header(_csv(spark, multi_line).load(path, format="csv", inferSchema=False).columns, spec)
         header = T.StructType([T.StructField(c, T.StringType()) for c in spec.source_columns])
         data = _csv(spark, multi_line).schema(header).option("enforceSchema", False).csv(path)
-        data = number_rows(with_block_position(data))
+        lineage = ["source_file", *PLACE.names]
+        data = with_block_position(data)
     else:
         raise ValueError(f"unknown format: {format}")
     renamed = [F.coalesce(F.col(f"`{s}`").cast("string"), F.lit("")).alias(t)
                for s, t in zip(spec.source_columns, spec.target_columns)]
-    return data.select(*LINEAGE, *renamed)
+    return data.select(*lineage, *renamed)
+
+
+def read_contracted(
+    spark: SparkSession, spec: SourceSpec, path: str, format: str = "csv", multi_line: bool = False,
+) -> DataFrame:
+    """A source as its raw relation, without storing it as a table: text only, lineage columns first.
+
+    As ``scan_contracted``; CSV rows are checkpointed to be numbered.
+    """
+    data = scan_contracted(spark, spec, path, format, multi_line)
+    if has_block(data):
+        data = number_rows(data)
+    return data.select(*LINEAGE, *spec.target_columns)
 
 
 def read_raw(spark: SparkSession, relation: str, path: str, format: str = "parquet") -> DataFrame:

@@ -128,6 +128,15 @@ def test_json_documents(values):
     assert values(BAD_JSON, jsontext.is_json_document) == [False] * len(BAD_JSON)
 
 
+def test_json_values(values):
+    scalars = ["1", '"text"', "null", " null ", "-0.5", "true"]
+    pairs = [r'{"a":"\ud83d\ude00"}', r'{"a":"\\u0000"}', r'{"a":"\\ud800"}', r'"\u00e9"']
+    assert values(GOOD_JSON + scalars + pairs, jsontext.is_json_value) == [True] * len(GOOD_JSON + scalars + pairs)
+    bad = [b for b in BAD_JSON if b not in scalars] + [
+        r'{"a":"\u0000"}', r'{"a":"\ud800"}', r'{"a":"\ud800 \udc00"}', r'{"a":"\udc00"}', r'"\\\u0000"', "null null", "nul", "1 2", " "]
+    assert values(bad, jsontext.is_json_value) == [False] * len(bad)
+
+
 def test_json_path_keeps_number_text(values):
     texts = ['{"routes":[{"distanceMeters":12.0}]}', '{"routes":[]}', '{"routes":[{"distanceMeters":null}]}']
     assert values(texts, lambda c: jsontext.json_path(c, "routes[0].distanceMeters")) == ["12.0", None, None]

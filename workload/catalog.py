@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,8 @@ from perkmill.operators import aggregates, asof, joins, quality, ranking, tables
 from perkmill.operators.projection import valid_rows
 from perkmill.plans import announcements, audits, marts, parameters, queue as Q, refresh, reports, routes, staging
 from perkmill.plans.queue_store import QueueStore
-from perkmill.schemas import QUEUE, RAW
+from perkmill.plans.workspace import Workspace
+from perkmill.schemas import QUEUE, RAW, SOURCES, SourceSpec
 from perkmill.session import checkpoint, shared_folder
 from perkmill.sources import readers
 from perkmill.sources.readers import append_responses
@@ -452,6 +454,14 @@ def parameter_history(spark, sf):
     return parameters.parameter_history(standin(spark, sf, "parameter_history_txt"), V.BONUS_RATE)
 
 
+@query
+def seeded_parameters(spark, sf):
+    """The initial versions, seeded twice into the stored ones."""
+    initial = readers.initial_parameters(spark)
+    once = tables.replace_by_source_file(standin(spark, sf, "parameter_history_txt"), initial, "initial_parameters")
+    return tables.replace_by_source_file(once, initial, "initial_parameters")
+
+
 @query
 def status_histogram(spark, sf):
     return Q.status_histogram(queue(spark, sf))
@@ -493,6 +503,18 @@ def apply_delivery_results(spark, sf):
         queue(spark, sf), standin(spark, sf, "deliveries"), standin(spark, sf, "links"), now()))
 
 
+@query
+def started_batch(spark, sf):
+    """Stale claims expired, the next batch claimed, its messages written."""
+    _, batch = announcements.start_batch(queue(spark, sf), BATCH, now(), retry_errors=True)
+    return batch.select("activity_id", "message")
+
+
+@query
+def publication_gate(spark, sf):
+    return Q.gate_states(queue(spark, sf))
+
+
 @query
 def links_to_repair(spark, sf):
     return Q.links_to_repair(queue(spark, sf), BATCH)
@@ -602,11 +624,71 @@ def boundary_of_half(spark, sf):
     return rows.filter(pending & (age >= F.struct(*[F.lit(v) for v in edge]).cast(rows.select(age.alias("k")).schema["k"].dataType))).select("activity_id")
 
 
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+_ORDERS = SourceSpec("orders", _ORDER_COLUMNS, _ORDER_COLUMNS)
+
+
 @query
 def row_lineage(spark, sf):
-    return table(spark, sf, "orders").select(
-        F.col("_metadata.file_name").alias("source_file"),
-        (F.col("_metadata.row_index") + readers.FIRST_ROW).cast("string").alias("source_row_number"), "o_orderkey")
+    return readers.read_contracted(spark, _ORDERS, f"{sf}/orders.parquet", "parquet").select(
+        "source_file", "source_row_number", F.col("o_orderkey").cast("long").alias("o_orderkey"))
+
+
+def _as_csv(df: DataFrame, spec: SourceSpec, path: str) -> str:
+    """A raw relation as CSV files with the contracted header, in order of the employees."""
+    rows = df.repartitionByRange(4, F.trim("employee_id").cast("long")).sortWithinPartitions(F.trim("employee_id").cast("long"))
+    named = [F.col(t).alias(s) for s, t in zip(spec.source_columns, spec.target_columns)]
+    rows.select(*named).write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+def _loaded(spark, sf) -> Workspace:
+    """A workspace whose employees and profiles were loaded from CSV files."""
+    root = f"{shared_folder(spark)}/workspace-{uuid.uuid4().hex}"
+    inputs = raw(spark, sf)
+    space = Workspace(spark, f"{root}/lake")
+    space.load({s.relation: _as_csv(inputs[s.relation], s, f"{root}/{s.relation}") for s in SOURCES})
+    space.store_raw({name: df for name, df in inputs.items() if name not in {s.relation for s in SOURCES}})
+    return space
+
+
+@query
+def loaded_row_numbers(spark, sf):
+    """Row numbers of loaded CSV files; with the rows of earlier files they count all employees in order."""
+    rows = _loaded(spark, sf).raw()["hr_employees_txt"].select(
+        F.trim("employee_id").cast("long").alias("employee_id"), "source_file", F.col("source_row_number").cast("long").alias("row_number"))
+    files = rows.groupBy("source_file").agg(F.min("employee_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = files.alias("a").join(files.alias("b"), F.col("b.first") < F.col("a.first"), "left").groupBy(
+        F.col("a.source_file").alias("source_file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    return rows.join(earlier, "source_file").select("employee_id", (F.col("row_number") - 1 + F.col("before")).alias("place"))
+
+
+@query
+def workspace_run(spark, sf):
+    """Load, refresh and queue below one root; the impact mart as released."""
+    space = _loaded(spark, sf)
+    space.refresh()
+    return space.table("mart_benefits_impact_by_business_unit")
+
+
+@query
+def workspace_reset(spark, sf):
+    """Rows of the raw relations and the queue before and after a reset."""
+    space = _loaded(spark, sf)
+    space.store_raw({"benefit_parameters_txt": standin(spark, sf, "parameter_history_txt")})
+    space.refresh()
+    space.create_queue().synchronise(space.table("fct_sport_activities"), now())
+
+    def counted(moment: str) -> DataFrame:
+        tables = {**space.raw(), "queue": space.queue().read()}
+        parts = [df.groupBy().agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(moment).alias("moment"), F.lit(name).alias("relation"), "row_count") for name, df in tables.items()]
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    before = counted("before")
+    space.reset()
+    return before.unionByName(counted("after"))
 
 
 @query
@@ -726,6 +808,28 @@ def range_audit_rows(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def rate_bounds(spark, sf):
+    return parameters.rate_bounds().failures(history(spark, sf)).select("source_row_number_raw", "parameter_value_raw")
+
+
+@query
+def delivery_figures(spark, sf):
+    models = staged(spark, sf)
+    facts = fact(spark, sf)
+    commute = marts.commute_bonus(
+        models["stg_hr_employees"], models["stg_google_routes_responses"], models["config_benefit_parameters"], facts)
+    return reports.delivery_figures(raw(spark, sf), facts, commute, Q.backfill(queue(spark, sf), 0, now()))
+
+
+@query
+def registered_layers(spark, sf):
+    """Rows of the stored marts and of an audit, by SQL over the registered layers."""
+    refresh.refresh(spark, raw(spark, sf), f"{shared_folder(spark)}/registered-{uuid.uuid4().hex}", register=True)
+    names = [f"marts.{name}" for name in refresh.MART_MODELS] + ["audit.stg_sport_activities_invalid_records"]
+    return spark.sql(" UNION ALL ".join(f"SELECT '{n.split('.')[1]}' AS name, count(*) AS row_count FROM {n}" for n in names))
+
+
 @query
 def queue_audit_counts(spark, sf):
     checks = Q.queue_audits()

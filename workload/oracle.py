@@ -53,6 +53,10 @@ def is_json(c: str) -> str:
     return rf"coalesce(regexp_full_match({c}, '(?s)\s*(\{{.*\}}|\[.*\])\s*') AND json_valid({c}), false)"
 
 
+def is_json_value(c: str) -> str:
+    return rf"coalesce(json_valid({c}) AND NOT contains(replace({c}, '\\', ''), '\u0000'), false)"
+
+
 def label(c: str) -> str:
     return f"CASE WHEN lower({clean(c)}) = 'runing' THEN 'Course à pied' ELSE {clean(c)} END"
 
@@ -230,7 +234,7 @@ CTES = {
             {clean('response_http_status')} AS response_http_status_raw,
             {integer('response_http_status')} AS response_http_status,
             {clean('response_payload_json')} AS response_payload_json_raw,
-            CASE WHEN {is_json(clean('response_payload_json'))} THEN {clean('response_payload_json')} END
+            CASE WHEN {is_json_value(clean('response_payload_json'))} THEN {clean('response_payload_json')} END
               AS response_payload_json,
             {clean('requested_at')} AS requested_at_raw, {zoned('requested_at')} AS requested_at
             FROM raw_google_routes_responses_txt)))""",
@@ -428,7 +432,7 @@ ORACLE = {
         {timestamp('activity_end_datetime')} AS end_value FROM raw_sport_activities_txt""",
     "safe_cast_timestamp_zone": f"""SELECT request_key, {zoned('requested_at')} AS requested_value
         FROM raw_google_routes_responses_txt""",
-    "json_validation": f"""SELECT request_key, CASE WHEN {is_json(clean('response_payload_json'))}
+    "json_validation": f"""SELECT request_key, CASE WHEN {is_json_value(clean('response_payload_json'))}
         THEN {clean('response_payload_json')} END AS document FROM raw_google_routes_responses_txt""",
     "json_path_text": f"""SELECT request_key, {path('response_payload_json', 'routes[0].distanceMeters')} AS distance_text,
         {path('response_payload_json', 'routes[0].duration')} AS duration_text FROM stg_google_routes_responses""",
@@ -592,6 +596,13 @@ ORACLE = {
         {NOW} AS created_at, {NOW} AS updated_at FROM fact""",
     "row_lineage": """SELECT 'orders.parquet' AS source_file, CAST(row_number() OVER () + 1 AS VARCHAR)
         AS source_row_number, o_orderkey FROM orders""",
+    "loaded_row_numbers": "SELECT c_custkey AS employee_id, row_number() OVER (ORDER BY c_custkey) AS place FROM customer",
+    "workspace_reset": " UNION ALL ".join([*[
+        f"SELECT '{moment}' AS moment, '{name}' AS relation, {count} AS row_count FROM {source}"
+        for name, source in (("hr_employees_txt", "customer"), ("employee_sport_profile_txt", "raw_employee_sport_profile_txt"),
+                             ("sport_activities_txt", "orders"), ("google_routes_responses_txt", "events"),
+                             ("benefit_parameters_txt", "supplier"), ("queue", "fact"))
+        for moment, count in (("before", "count(*)"), ("after", "0 * count(*)"))]]),
     "route_candidates": """SELECT * EXCLUDE (id_text, business_unit) FROM fresh_requests
         ORDER BY id_text, source_row_number, request_key LIMIT 100""",
     "new_route_requests": "SELECT * EXCLUDE (id_text, business_unit) FROM fresh_requests",
@@ -620,7 +631,35 @@ ORACLE = {
 }
 
 
+_PUBLIC = "publication_status IN ('PENDING', 'ERROR') OR coalesce(publication_status = 'IN_PROGRESS' AND claimed_at < " + NOW + " - INTERVAL 15 MINUTE, false)"
+
 ORACLE.update({
+    "started_batch": f"""SELECT * FROM ({ORACLE["announcement_text"]}) WHERE activity_id IN (SELECT activity_id FROM queue
+        WHERE {_PUBLIC} ORDER BY activity_start_datetime, activity_id LIMIT 40)""".replace(
+        f"activity_id, {_DISTANCE_TEXT} AS distance_text, {_DURATION_TEXT} AS duration_text,", "activity_id,"),
+    "publication_gate": """SELECT activity_id, publication_status, pending - mine AS other_pending_count, pending = 1 AND mine = 1 AS is_open
+        FROM (SELECT *, CAST(publication_status = 'PENDING' AS BIGINT) AS mine FROM queue),
+          (SELECT count(*) AS pending FROM queue WHERE publication_status = 'PENDING')""",
+    "rate_bounds": """SELECT source_row_number_raw, parameter_value_raw FROM history
+        WHERE parameter_name = 'bonus_rate' AND NOT coalesce(parameter_value BETWEEN 0.01 AND 1, false)""",
+    "delivery_figures": " UNION ALL ".join([*[
+        f"SELECT '{name}' AS figure, CAST(count(*) AS VARCHAR) AS value FROM {source}" for name, source in (
+            ("hr_employees_txt", "customer"), ("employee_sport_profile_txt", "raw_employee_sport_profile_txt"),
+            ("sport_activities_txt", "orders"), ("google_routes_responses_txt", "events"), ("fct_sport_activities", "fact"),
+            ("BACKFILLED", "queue WHERE publication_status IN ('BACKFILLED', 'PENDING')"))],
+        f"SELECT 'state', state FROM ({ORACLE['state_fingerprint']})"]),
+    "registered_layers": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS row_count FROM {source}" for name, source in (
+            ("fct_sport_activities", "fact"), ("mart_commute_bonus_eligibility", "commute"), ("mart_wellbeing_eligibility", "wellbeing"),
+            ("mart_benefits_impact_by_business_unit", "impact"),
+            ("stg_sport_activities_invalid_records", "stg_sport_activities WHERE NOT coalesce(record_is_valid, false)"))),
+    "seeded_parameters": """SELECT * FROM raw_parameter_history_txt UNION ALL SELECT 'initial_parameters', * FROM (VALUES
+        ('1', 'bonus_rate', '0.05', '2025-06-20', '', 'Taux initial de la prime sportive'),
+        ('2', 'wellbeing_activity_threshold', '15', '2025-06-20', '', 'Nombre minimal d activités sur douze mois'),
+        ('3', 'wellbeing_days', '5', '2025-06-20', '', 'Nombre de jours bien-être accordés'),
+        ('4', 'max_commute_distance_walking_km', '15', '2025-06-20', '', 'Distance maximale marche ou course à pied'),
+        ('5', 'max_commute_distance_cycling_km', '25', '2025-06-20', '', 'Distance maximale vélo, trottinette ou autre'))""",
+    "workspace_run": ORACLE["full_refresh"],
     "store_synchronise": ORACLE["insert_only_merge"],
     "store_claim_batch": ORACLE["claim_batch"],
     "store_settle_batch": ORACLE["apply_delivery_results"],

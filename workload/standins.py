@@ -92,6 +92,9 @@ STANDINS = {
                WHEN event_id % 13 = 5 THEN '{"routes":[{"distanceMeters":null,"duration":"60s"}]}'
                WHEN event_id % 13 = 6 THEN '{bad'
                WHEN event_id % 13 = 7 THEN '{"routes":[{"distanceMeters":1' || k || '00,"duration":"60"}]} {"a":1}'
+               WHEN event_id % 131 = 8 THEN k WHEN event_id % 131 = 9 THEN '"text"' WHEN event_id % 131 = 10 THEN ' null '
+               WHEN event_id % 131 = 11 THEN '{"a":"' || chr(92) || 'u0000"}' WHEN event_id % 131 = 12 THEN '{"a":"' || chr(92) || 'ud800 x"}'
+               WHEN event_id % 131 = 13 THEN '{"a":"' || chr(92) || 'ud83d' || chr(92) || 'ude00"}' WHEN event_id % 131 = 14 THEN 'true false'
                ELSE '{"routes":[{"duration":"' || k || '7s","distanceMeters":' || k || '00}]}' END
             AS response_payload_json,
           CASE WHEN event_id % 103 = 5 THEN 'yesterday' ELSE CAST(ts AS STRING) || '+00:00' END AS requested_at
