@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from perkmill.plans import routes
-from perkmill.plans.load import load_sources, reset
+from perkmill.plans.load import load_sources, read_loaded, reset
+from perkmill.plans.workspace import Workspace
 from perkmill.schemas import HR_SOURCE, PROFILE_SOURCE, RAW
-from perkmill.sources import readers, snapshots
+from perkmill.sources import readers, releases, snapshots
 
 HEADER = "ID salarié,Pratique d'un sport"
 
@@ -129,3 +130,79 @@ def test_arrivals_with_an_extra_column_are_appended(raw_frame):
     out = append_responses(stored, arrived)
     assert out.columns == stored.columns
     assert sorted(r.request_key or "" for r in out.collect()) == ["", "a", "b"]
+
+
+def test_loaded_rows_are_numbered_on_reading(spark, tmp_path):
+    """Text is written once with its place; numbers come from block counts, without a job and without shuffling rows."""
+    for file, count in (("a.csv", 5000), ("b.csv", 700), ("c.csv", 0)):
+        _write(tmp_path / "in", file, HEADER, *[f"{i},{file}" for i in range(2, count + 2)])
+    people = _write(tmp_path, "people.csv", ",".join(HR_SOURCE.source_columns), ",".join("abcdefghijk"))
+    root, setting = str(tmp_path / "raw"), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "9000")
+    try:
+        load_sources(spark, {HR_SOURCE.relation: people, PROFILE_SOURCE.relation: str(tmp_path / "in")}, root)
+    finally:
+        spark.conf.set(setting, before)
+    blocks = snapshots.read_table(spark, root, f"{PROFILE_SOURCE.relation}_blocks")
+    assert blocks.count() > 5 and blocks.select("__path").distinct().count() == 2
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    rows = read_loaded(spark, root, PROFILE_SOURCE.relation)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows.columns == RAW[PROFILE_SOURCE.relation].names
+    wrong = rows.filter((F.col("employee_id") != F.col("source_row_number")) | (F.col("declared_sport") != F.col("source_file")))
+    assert (rows.count(), wrong.count()) == (5700, 0)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert read_loaded(spark, root, HR_SOURCE.relation).first().source_row_number == "2"
+    reset(spark, root)
+    assert read_loaded(spark, root, PROFILE_SOURCE.relation).count() == 0
+
+
+def test_large_offsets_are_joined_without_a_broadcast_hint(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("perkmill.plans.load.BROADCAST_BYTES", 0)
+    profiles = _write(tmp_path, "profiles.csv", HEADER, "1,Tennis", "2,")
+    people = _write(tmp_path, "people.csv", ",".join(HR_SOURCE.source_columns), ",".join("abcdefghijk"))
+    load_sources(spark, {HR_SOURCE.relation: people, PROFILE_SOURCE.relation: profiles}, str(tmp_path / "raw"))
+    rows = read_loaded(spark, str(tmp_path / "raw"), PROFILE_SOURCE.relation).orderBy("source_row_number").collect()
+    assert [tuple(r) for r in rows] == [("profiles.csv", "2", "1", "Tennis"), ("profiles.csv", "3", "2", "")]
+
+
+def test_areas_are_released_together(spark, tmp_path):
+    root = str(tmp_path)
+    assert releases.released(spark, root) == {}
+    releases.publish(spark, root, {"marts": 1, "audit": 1})
+    second = releases.publish(spark, root, {"marts": 2})
+    assert releases.released(spark, root) == {"marts": 2, "audit": 1}
+    assert releases.released(spark, root, second - 1) == {"marts": 1, "audit": 1}
+
+
+def test_a_reset_that_fails_changes_nothing(spark, raw_frame, tmp_path, monkeypatch):
+    space = Workspace(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        space.queue()
+    space.store_raw({"sport_activities_txt": raw_frame("sport_activities_txt", [{"activity_id": "1"}])})
+    queue = space.create_queue()
+    assert space.create_queue().store.root == queue.store.root
+    queue.append_batch(raw_frame("sport_activities_txt", [
+        {"activity_id": "1", "employee_id": "2", "activity_start_datetime": "2026-01-01 10:00:00", "sport_type": "x",
+         "activity_end_datetime": "2026-01-01 11:00:00", "elapsed_seconds": "60"}]), "s", 0)
+
+    def state():
+        return {**{name: df.count() for name, df in space.raw().items()}, "queue": space.queue().read().count()}
+
+    filled = {**dict.fromkeys(RAW, 0), "sport_activities_txt": 1, "queue": 1}
+    assert state() == filled
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("perkmill.plans.workspace.publish", lost)
+        with pytest.raises(RuntimeError):
+            space.reset()
+    assert state() == filled
+    space.reset()
+    assert state() == dict.fromkeys(filled, 0)
