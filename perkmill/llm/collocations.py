@@ -15,10 +15,11 @@ The texts are read four times, whole each time; no text is moved:
 3. The same for runs of 3 to 5 words whose pairs all survived.
 4. All survivors are counted exactly, by their words; what is below the threshold goes.
 
-Runs are known by 64-bit hashes in passes 1 to 3; in pass 4 occurrences of one text block are
-joined by 128 bits, and blocks by the words themselves. A set of hashes is given to the tasks
+Runs are known by 64-bit hashes in passes 1 to 3; in pass 4 occurrences in one task are
+joined by 128 bits, and tasks by the words themselves: a task hands on one table of runs for each
+hash partition, and the tables of a partition are added up. A set of hashes is given to the tasks
 while it has MOST_KNOWN members at most. Beyond that nothing is looked up: all runs are summarised
-or counted and grouped by Spark, with the same result.
+or counted, with the same result.
 
 Odd rows: NULL and empty texts have no words; rows without a doc_id count like others, repeated
 rows count again; an empty table gives no rows. Only text and lang are read.
@@ -48,9 +49,13 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = wordhash.byte_table(b" \t" + _ENDS)
 _IS_END = np.zeros(256, dtype=bool)
 _IS_END[list(_ENDS)] = True
+# Frequent runs are counted in at most this many hash partitions.
+MOST_PARTS = 1024
 # A summary is merged with this many new occurrences at a time, and handed on beyond so many counters.
 _BUFFERED = 1 << 21
 _MOST_COUNTERS = 1 << 22
+# Different runs that a task counts before it hands them on.
+_MOST_TALLIED = 1 << 19
 
 
 class Runs:
@@ -252,20 +257,107 @@ def _survivors(rooms, threshold: int):
     return merged
 
 
-def _count_exactly(words, pairs, longer):
-    """(lang, size, phrase, n) of the known runs, once per block of texts; size 0 counts all words."""
+class Tally:
+    """How often each run of a task's blocks occurs: hashes in ascending order, counts, and the words once."""
+
+    def __init__(self):
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.counts, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.named = []
+
+    def add(self, runs: Runs, size: int, first: np.ndarray, second: np.ndarray, counts: np.ndarray, at: np.ndarray):
+        """``first`` ascends; a run whose first hash another one has already may get several rows."""
+        slot = np.searchsorted(self.first, first)
+        inside = np.minimum(slot, max(len(self.first) - 1, 0))
+        seen = (self.first[inside] == first) & (self.second[inside] == second) if len(self.first) else np.zeros(len(first), dtype=bool)
+        np.add.at(self.counts, inside[seen], counts[seen])
+        new = np.flatnonzero(~seen)
+        if len(new):
+            self.named.append(pa.array([(runs.langs[runs.words.text[k]], runs.phrase(int(k), size)) for k in at[new]], _NAMED))
+            places = np.arange(len(self.first), len(self.first) + len(new))
+            self.first, self.second = np.insert(self.first, slot[new], first[new]), np.insert(self.second, slot[new], second[new])
+            self.counts, self.places = np.insert(self.counts, slot[new], counts[new]), np.insert(self.places, slot[new], places)
+
+    def table(self, size: int) -> pa.Table:
+        """lang, size, phrase and n, in the order of ``first``."""
+        lang, phrase = pa.concat_arrays(self.named).take(pa.array(self.places)).flatten()
+        return pa.table({"lang": lang, "size": pa.array(np.full(len(lang), size, np.int32)), "phrase": phrase, "n": pa.array(self.counts)})
+
+
+_NAMED = pa.struct([("lang", pa.string()), ("phrase", pa.string())])
+_PACKED = "part int, runs binary"
+_COUNTED = "lang string, size int, phrase string, f long"
+
+
+def _bytes_of(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _packed(tallies: list[Tally], parts: int) -> Iterator[pa.RecordBatch]:
+    """One row for each hash partition that has runs, holding the table of them."""
+    full = [(size, tally) for size, tally in enumerate(tallies, 1) if len(tally.first)]
+    if not full:
+        return
+    part = np.concatenate([t.first for _, t in full]) >> np.uint64(64 - parts.bit_length() + 1)
+    order = np.argsort(part, kind="stable")
+    table = pa.concat_tables([t.table(size) for size, t in full]).take(pa.array(order))
+    edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    for p in np.flatnonzero(np.diff(edges)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p], pa.int32()), pa.array([_bytes_of(table.slice(edges[p], edges[p + 1] - edges[p]).combine_chunks())], pa.binary())],
+            ["part", "runs"])
+
+
+def _added_up(threshold: int):
+    """Packed rows, ordered by partition, as (lang, size, phrase, f) of frequent runs, joined by their words."""
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, tables = None, []
+
+        def total() -> pa.Table:
+            return pa.concat_tables(tables).group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")]).rename_columns(
+                ["lang", "size", "phrase", "n"])
+
+        def frequent() -> list[pa.RecordBatch]:
+            found = total()
+            often = np.asarray(found["n"]) >= threshold
+            return found.filter(pa.array(often | (np.asarray(found["size"]) == 0))).rename_columns(["lang", "size", "phrase", "f"]).to_batches()
+
+        for batch in batches:
+            for p, runs in zip(batch["part"].to_pylist(), batch["runs"]):
+                if p != part:
+                    if tables:
+                        yield from frequent()
+                    part, tables, held = p, [], 0
+                tables.append(pa.ipc.open_stream(runs.as_buffer()).read_all())
+                held += len(tables[-1])
+                if held > _MOST_TALLIED:
+                    tables, held = [total()], 0
+        if tables:
+            yield from frequent()
+
+    return merged
+
+
+def _count_exactly(words, pairs, longer, parts: int):
+    """Packed (lang, size, phrase, n) of the known runs; size 0 counts all words.
+
+    A task adds up what its blocks hold and gives a run once, or once for every
+    ``_MOST_TALLIED`` different runs.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, int] = {}
+        tallies = [Tally() for _ in range(LONGEST)]
         for runs in _blocks(batches):
             if not len(runs.hashes):
                 continue
-            langs, sizes, phrases, counts = [], [], [], []
             text_lang = np.array([_lang_salt(lang) for lang in runs.langs], dtype=np.uint64)
             for salt in np.unique(text_lang):
                 mine = text_lang == salt
-                langs.append(runs.langs[int(np.flatnonzero(mine)[0])])
-                sizes.append(0)
-                phrases.append("")
-                counts.append(int(runs.words.counts[mine].sum()))
+                lang = runs.langs[int(np.flatnonzero(mine)[0])]
+                totals[lang] = totals.get(lang, 0) + int(runs.words.counts[mine].sum())
             is_pair = _member(runs.of(2), pairs.value) & runs.places(2)
             for size in range(1, LONGEST + 1):
                 if size == 1:
@@ -281,14 +373,16 @@ def _count_exactly(words, pairs, longer):
                 order = np.lexsort((second, first))
                 first, second = first[order], second[order]
                 begins = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-                for at, n in zip(there[order[begins]], np.diff(np.append(begins, len(order)))):
-                    langs.append(runs.langs[runs.words.text[at]])
-                    sizes.append(size)
-                    phrases.append(runs.phrase(int(at), size))
-                    counts.append(int(n))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
-                ["lang", "size", "phrase", "n"])
+                tallies[size - 1].add(runs, size, first[begins], second[begins], np.diff(np.append(begins, len(order))), there[order[begins]])
+            if sum(len(t.first) for t in tallies) > _MOST_TALLIED:
+                yield from _packed(tallies, parts)
+                tallies = [Tally() for _ in range(LONGEST)]
+        yield from _packed(tallies, parts)
+        if totals:
+            table = pa.table({
+                "lang": pa.array(list(totals), pa.string()), "size": pa.array([0] * len(totals), pa.int32()),
+                "phrase": pa.array([""] * len(totals), pa.string()), "n": pa.array(list(totals.values()), pa.int64())})
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([_bytes_of(table)], pa.binary())], ["part", "runs"])
 
     return count
 
@@ -323,8 +417,9 @@ def frequent_runs(docs: DataFrame, threshold: int = THRESHOLD, slack: int = SLAC
         known = _known(spark, scratch.store(dealt.mapInArrow(_survivors(rooms, threshold), "hash long")), most_known)
         if step == 0:
             pairs = known
-    exact = texts.mapInArrow(_count_exactly(words, pairs, known), "lang string, size int, phrase string, n long")
-    return exact.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= threshold) | (F.col("size") == 0))
+    everything = any(k.value is None for k in (words, pairs, known))
+    exact = texts.mapInArrow(_count_exactly(words, pairs, known, parts if everything else min(parts, MOST_PARTS)), _PACKED)
+    return exact.repartition("part").sortWithinPartitions("part").mapInArrow(_added_up(threshold), _COUNTED)
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, **options) -> DataFrame:

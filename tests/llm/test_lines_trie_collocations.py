@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +207,30 @@ def test_summaries_keep_what_is_frequent():
     assert len(whole.hashes) <= (masses // 50 + 1).sum()
 
 
+@pytest.mark.parametrize("most", [1 << 19, 3])
+def test_a_task_counts_a_run_once(monkeypatch, most):
+    class Known:
+        value = None
+
+    monkeypatch.setattr(collocations, "_MOST_TALLIED", most)
+    batch = lambda *texts: pa.RecordBatch.from_arrays(
+        [pa.array(["en", "de"][:len(texts)]), pa.array(texts, pa.string())], ["lang", "text"])
+    batches = [batch("New York city", "new york"), batch("a new\tYork", None), batch("city of new york. new york", "x")]
+    packed = [r for found in collocations._count_exactly(Known, Known, Known, 64)(iter(batches)) for r in found.to_pylist()]
+    rows = [r for p in packed for r in pa.ipc.open_stream(p["runs"]).read_all().to_pylist()]
+    counts = Counter()
+    for r in rows:
+        counts[r["lang"], r["size"], r["phrase"]] += r["n"]
+    assert counts["en", 2, "new york"] == 4 and counts["de", 2, "new york"] == 1 and counts["en", 4, "city of new york"] == 1
+    assert counts["en", 0, ""] == 12 and counts["de", 0, ""] == 3 and counts["en", 1, "city"] == 2
+    assert most < len(counts) or len(rows) == len(counts) and len(packed) <= 65
+    packed.sort(key=lambda r: r["part"])
+    ordered = pa.RecordBatch.from_pylist(packed, pa.schema([("part", pa.int32()), ("runs", pa.binary())]))
+    found = [r for batch in collocations._added_up(2)(iter([ordered])) for r in batch.to_pylist()]
+    assert sorted((r["lang"], r["size"], r["phrase"], r["f"]) for r in found) == sorted(
+        (*key, n) for key, n in counts.items() if n >= 2 or not key[1])
+
+
 def test_collocations_scores_beyond_64_bits(spark):
     big = 4 * 10 ** 12
     row = spark.range(1).select(F.lit(big).alias("a"), F.lit(big).alias("n"), F.lit(big).alias("l"), F.lit(3).cast("long").alias("r"))
