@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkmill.llm import wordhash
-from perkmill.llm.components import connected_components
+from perkmill.llm.components import connected_components, grown_components
 from perkmill.llm.tables import Scratch
 
 WIDE = 8
@@ -53,7 +53,7 @@ MARGIN = 20
 
 def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int, shingle_words: int,
               scratch: Scratch) -> DataFrame:
-    """(id, component) of all linked sets.
+    """(id, component) of all linked sets, stored; the tables made on the way are deleted.
 
     ``banded``: id, n (size of the set), bands (array of keys), sketch, stored.
     ``texts_of(ids)`` gives (id, text) for the ids asked for; a set is the distinct runs of
@@ -62,6 +62,7 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
     """
     if percent < NEAREST:
         raise ValueError("sets that are less similar need more bands")
+    begun = scratch.made
     keyed = banded.select("id", "n", F.explode("bands").alias("key"))
     buckets = scratch.store(_buckets(keyed, banded))
     sketches = banded.select("id", "sketch")
@@ -75,6 +76,7 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
 
     mixed = scratch.store(_mixed(buckets.join(components, "id", "left").select(
         "key", "id", "n", "size", F.coalesce("component", "id").alias("component"))))
+    scratch.drop(buckets)
     met = F.array_intersect("x_bands", "bands")
     one = _apart(mixed.where(F.col("size") <= WIDE), banded, percent, F.get(met, F.lit(0)) == F.col("key"))
 
@@ -85,9 +87,8 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
     central = placed.groupBy("group").agg(F.max_by(F.struct("id", "n"), F.struct("like", -F.col("id"))).alias("most"))
     to_central = placed.join(central, "group").where((F.col("id") != F.col("most.id")) & _size_fits(percent, "n", "most.n")).select(
         F.col("most.id").alias("a"), F.col("most.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
-    first = scratch.store(first.unionByName(
-        _verified(_alike(to_central, sketches, percent), texts, percent, shingle_words)).distinct())
-    components = scratch.store(connected_components(first, scratch))
+    components = grown_components(
+        components, scratch.store(_verified(_alike(to_central, sketches, percent), texts, percent, shingle_words)), scratch)
     two = _unlike(placed, components, central, percent)
     met_again = _alike(one.unionByName(two), sketches, percent)
 
@@ -99,9 +100,10 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
         best.select("a", "b"), ["a", "b"], "left_anti"))
     asked = rest.select(F.col("a").alias("id")).unionByName(rest.select(F.col("b").alias("id"))).distinct()
     missing = scratch.store(asked.join(texts.select("id"), "id", "left_anti"))
-    more = _verified(rest, texts.unionByName(texts_of(missing)), percent, shingle_words)
-    links = scratch.store(first.unionByName(more))
-    return connected_components(links, scratch)
+    more = scratch.store(_verified(rest, texts.unionByName(texts_of(missing)), percent, shingle_words))
+    found = grown_components(components, more, scratch)
+    scratch.drop_since(begun, found)
+    return found
 
 
 def sketches_of(signature: np.ndarray) -> pa.Array:

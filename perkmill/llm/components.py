@@ -32,6 +32,17 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return ends.unionByName(ends.select(F.col("component").alias("id"), "component")).distinct()
 
 
+def grown_components(components: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``components`` (stored) after the stored ``links`` were added to theirs.
+
+    What is known enters as one link for each end, so only the new links take rounds.
+    """
+    if links.isEmpty():
+        return components
+    known = components.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return scratch.store(connected_components(known.unionByName(links.select("a", "b")), scratch))
+
+
 def _down(edges: DataFrame) -> DataFrame:
     """Links from the larger to the smaller end, once each."""
     return edges.where("u <> v").select(

@@ -75,6 +75,7 @@ def _linked_classes(docs: DataFrame, percent: int, scratch: Scratch) -> tuple[Da
     A class is named by the number of one of its rows, so texts under one doc_id stay apart;
     doc_id is its smallest.
     """
+    begun = scratch.made
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("row"))
     features = scratch.store(text.mapInArrow(
         _features, "doc_id long, row long, n long, sum_a long, sum_b long, bands array<long>, sketch binary")
@@ -89,8 +90,10 @@ def _linked_classes(docs: DataFrame, percent: int, scratch: Scratch) -> tuple[Da
         return text.join(asked, ["doc_id", "row"]).select("id", "text").dropDuplicates(["id"])
 
     linked = link_sets(banded, texts_of, percent, SHINGLE_WORDS, scratch)
-    return features, scratch.store(
+    named = scratch.store(
         classes.join(linked, "id", "left").select(*SET, "id", "doc_id", F.coalesce("component", "id").alias("component")))
+    scratch.drop_since(begun, features, named)
+    return features, named
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

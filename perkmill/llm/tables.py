@@ -14,10 +14,6 @@ from perkmill.session import shared_folder
 ARROW_ROWS = "256"
 
 
-# Stored steps after which what they left behind is released.
-RELEASE_EVERY = 5
-
-
 def release(spark: SparkSession) -> None:
     """Let the driver collect the plans of finished steps.
 
@@ -45,16 +41,26 @@ class Scratch:
         self.made += 1
         path = f"{self.root}/{self.made}"
         df.write.parquet(path)
-        if self.made % RELEASE_EVERY == 0:
-            release(self.spark)
+        release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_since(self, made: int, *keep: DataFrame) -> None:
+        """Delete the tables stored after the first ``made`` ones, but for those that ``keep`` reads."""
+        read = {f.rsplit("/", 1)[0] for df in keep for f in df.inputFiles()}
+        name = self.root.rsplit("/", 1)[-1]
+        for number in range(made + 1, self.made + 1):
+            if not any(path.endswith(f"{name}/{number}") for path in read):
+                self._delete(f"{self.root}/{number}")
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def drop(self, df: DataFrame) -> None:
         """Delete a stored table that nothing will read again."""
         for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if self.root.split("://")[-1].split(":", 1)[-1].lstrip("/") in path:
-                target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+                self._delete(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,11 +10,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from perkmill.llm import bpe, decontaminate, language, minhash, paragraphs, quality, quotes, surrogates, toxicity, vectors, wordhash
-from perkmill.llm.components import connected_components
+from perkmill.llm.components import connected_components, grown_components
 from perkmill.llm.tables import Scratch
+from perkmill.session import shared_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id string"
 LONG = "Wort " * 30_000
@@ -109,6 +111,16 @@ def test_components_of_chains_and_hubs(spark):
     assert {r.id: r.component for r in found.collect()} == expected
 
 
+def test_components_grow_by_new_links(spark):
+    scratch = Scratch(spark, "t")
+    frame = lambda links: scratch.store(spark.createDataFrame(links, "a long, b long"))
+    old, new = [(2, 3), (3, 9), (5, 6), (20, 21)], [(9, 5), (30, 31), (31, 20), (40, 40)]
+    known = scratch.store(connected_components(frame(old), scratch))
+    assert grown_components(known, frame([]), scratch) is known
+    found = grown_components(known, frame(new), scratch)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, connected_components(frame(old + new), scratch).collect()))
+
+
 def test_near_duplicates_match_all_pairs(documents):
     texts = varied_texts()
     found = by_id(minhash.near_duplicates(documents(texts)), "n_shingles", "component_id", "kept")
