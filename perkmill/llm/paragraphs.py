@@ -112,6 +112,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
         classes.join(linked, "id", "left").where("copies > 1 or component is not null")
         .select(*set_key, F.coalesce("component", "id").alias("component")))
     members = scratch.store(features.select("doc_id", "paragraph", "n_words", *set_key).join(repeated, set_key).drop(*set_key))
+    scratch.drop_since(0, members)
     firsts = members.groupBy("component").agg(
         F.min(F.struct("doc_id", "paragraph")).alias("first"), F.count(F.lit(1)).alias("n_paragraphs"),
         F.approx_count_distinct("doc_id").alias("about_docs"))
@@ -130,16 +131,22 @@ def _windows(words: wordhash.Words, size: int, seed: int) -> np.ndarray:
     return wordhash.mix(sums)
 
 
+def _least(words: wordhash.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per window of RUN words: whether it stays in its text, and where its anchor begins; and the hashes of all anchors."""
+    hashes = _windows(words, ANCHOR, 19)
+    runs = max(len(words.hashes) - RUN + 1, 0)
+    if not runs:
+        return np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64), hashes
+    least = np.lib.stride_tricks.sliding_window_view(hashes, RUN - ANCHOR + 1).argmin(axis=1) + np.arange(runs)
+    return words.text[:runs] == words.text[RUN - 1:], least, hashes
+
+
 def _anchors(batches):
     for batch in batches:
         for first, end, data, offsets in wordhash.chunks(batch.column(2)):
             words = wordhash.Words(data, offsets)
-            hashes = _windows(words, ANCHOR, 19)
-            runs = max(len(words.hashes) - RUN + 1, 0)
-            if not runs:
-                continue
-            least = np.lib.stride_tricks.sliding_window_view(hashes, RUN - ANCHOR + 1).argmin(axis=1) + np.arange(runs)
-            at = np.unique(least[words.text[:runs] == words.text[RUN - 1:]])
+            inside, least, hashes = _least(words)
+            at = np.unique(least[inside])
             text = words.text[at]
             taken = batch.slice(first, end - first).select([0, 1]).take(pa.array(text))
             yield pa.RecordBatch.from_arrays(
@@ -148,25 +155,25 @@ def _anchors(batches):
 
 
 def _runs_at(batches):
-    """All windows of RUN words that hold one of the anchors ``at``."""
+    """Per anchor ``at``, the neighbouring windows of RUN words whose anchor it is: first start and hashes."""
     for batch in batches:
         for first, end, data, offsets in wordhash.chunks(batch.column(2)):
             words = wordhash.Words(data, offsets)
             rows = batch.slice(first, end - first)
-            near = np.zeros(len(words.hashes) + RUN, dtype=np.int32)
+            inside, least, hashes = _least(words)
+            asked = np.zeros(len(words.hashes), dtype=bool)
             for k, at in enumerate(rows.column(3)):
-                at = at.values.to_numpy()
-                low = np.maximum(at - (RUN - ANCHOR), 0)
-                high = np.minimum(at, words.counts[k] - RUN)
-                np.add.at(near, words.first[k] + low, 1)
-                np.add.at(near, words.first[k] + high + 1, -1)
-            start = np.flatnonzero(np.cumsum(near)[:len(words.hashes)] > 0)
-            text = words.text[start]
+                asked[words.first[k] + at.values.to_numpy()] = True
+            start = np.flatnonzero(inside & asked[least])
+            begins = np.flatnonzero(np.concatenate([[True], least[start[1:]] != least[start[:-1]]])) if len(start) else start
+            counts, start_at = np.diff(np.append(begins, len(start))), start[begins]
+            text = words.text[start_at]
             taken = rows.select([0, 1]).take(pa.array(text))
-            h_a, h_b = (_windows(words, RUN, seed)[start].view(np.int64) for seed in (23, 29))
+            h_a, h_b = (wordhash.list_column(_windows(words, RUN, seed)[start], counts) for seed in (23, 29))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array((start - words.first[text]).astype(np.int32)), pa.array(h_a), pa.array(h_b)],
-                ["doc_id", "row", "start", "h_a", "h_b"])
+                [pa.array(hashes[least[start_at]].view(np.int64)), *taken.columns,
+                 pa.array((start_at - words.first[text]).astype(np.int32)), h_a, h_b],
+                ["anchor", "doc_id", "row", "start", "h_a", "h_b"])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -188,28 +195,39 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     scratch = Scratch(spark, "passages")
     text = _texts(docs)
-    anchors = scratch.store(text.mapInArrow(_anchors, "doc_id long, row long, at int, anchor long"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    found = anchors.join(shared.select("anchor"), "anchor", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("at").alias("at"))
-    runs = scratch.store(text.join(found, ["doc_id", "row"]).select("doc_id", "row", "text", "at").mapInArrow(
-        _runs_at, "doc_id long, row long, start int, h_a long, h_b long"))
-
-    groups = runs.groupBy("h_a", "h_b", "doc_id").agg(F.min("start").alias("start")).groupBy("h_a", "h_b").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "start")).alias("first")).where("n_docs > 1")
-    placed = runs.join(groups, ["h_a", "h_b"]).select(
-        "doc_id", "row", "start", "n_docs", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_word")).distinct()
-    line = Window.partitionBy("doc_id", "row").orderBy("start")
-    before = lambda name: F.lag(name).over(line)
-    goes_on = ((before("start") == F.col("start") - 1) & (before("first_doc_id") == F.col("first_doc_id"))
-               & (before("first_word") == F.col("first_word") - 1))
-    numbered = placed.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(line))
-    return numbered.groupBy("doc_id", "row", "_run", "first_doc_id").agg(
-        F.min("start").alias("start_word"), (F.count(F.lit(1)) + RUN - 1).alias("n_words"),
-        F.min("first_word").alias("first_word"), F.max("n_docs").alias("n_docs")).select(
-        "doc_id", "row", "start_word", "n_words", "first_doc_id", "first_word", "n_docs",
+    alike = Window.partitionBy("anchor")
+    shared = text.mapInArrow(_anchors, "doc_id long, row long, at int, anchor long").withColumns(
+        {"low": F.min("doc_id").over(alike), "high": F.max("doc_id").over(alike)}).where("low < high")
+    found = scratch.store(shared.groupBy("doc_id", "row").agg(F.collect_set("at").alias("at")))
+    # Equal windows have equal anchors: what is dealt by anchor is grouped, and joined again, where it is.
+    dealt = text.join(found, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", "text", "at").mapInArrow(
+        _runs_at, "anchor long, doc_id long, row long, start int, h_a array<long>, h_b array<long>").repartition("anchor")
+    runs = dealt.select("anchor", "doc_id", "row", "start", F.posexplode(F.arrays_zip("h_a", "h_b")).alias("k", "h")).select(
+        "anchor", "doc_id", "row", (F.col("start") + F.col("k")).alias("start"), "h.h_a", "h.h_b")
+    equal = Window.partitionBy("anchor", "h_a", "h_b")
+    placed = runs.withColumn("_docs", F.dense_rank().over(equal.orderBy("doc_id"))).withColumns({
+        "n_docs": F.max("_docs").over(equal), "first": F.min(F.struct("doc_id", "start")).over(equal)}).where("n_docs > 1").select(
+        "anchor", "doc_id", "row", "start", F.lit(1).alias("k"), F.col("n_docs").cast("long").alias("n_docs"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_word"))
+    pieces = scratch.store(_put_together(placed, "anchor", "doc_id", "row").drop("anchor"))
+    scratch.drop(found)
+    return _put_together(pieces, "doc_id", "row").select(
+        "doc_id", "row", F.col("start").alias("start_word"), (F.col("k") + RUN - 1).alias("n_words"), "first_doc_id", "first_word", "n_docs",
         (F.col("doc_id") != F.col("first_doc_id")).alias("removed"))
 
 
+def _put_together(pieces: DataFrame, *text: str) -> DataFrame:
+    """Pieces of ``k`` windows that go on in the text as in their first place, as one."""
+    line = Window.partitionBy(*text).orderBy("start")
+    before = lambda name: F.lag(name).over(line)
+    goes_on = ((before("start") + before("k") == F.col("start")) & (before("first_doc_id") == F.col("first_doc_id"))
+               & (before("first_word") + before("k") == F.col("first_word")))
+    numbered = pieces.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(line))
+    return numbered.groupBy(*text, "_run", "first_doc_id").agg(
+        F.min("start").alias("start"), F.sum("k").alias("k"), F.min("first_word").alias("first_word"),
+        F.max("n_docs").alias("n_docs")).drop("_run")
+
+
 def _without_runs(batches):
     """Texts without the words of their runs; line ends stay, so lines keep their places."""
     for batch in batches:

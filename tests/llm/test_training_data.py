@@ -121,6 +121,33 @@ def test_components_grow_by_new_links(spark):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, connected_components(frame(old + new), scratch).collect()))
 
 
+def stored_tables(spark, name):
+    folder = shared_folder(spark).split(":", 1)[-1]
+    return {os.path.join(folder, run, table) for run in os.listdir(folder) if run.startswith(f"{name}-")
+            for table in os.listdir(os.path.join(folder, run))}
+
+
+def test_finished_steps_are_deleted(documents, spark):
+    words = [f"w{i}" for i in range(90)]
+    docs = documents([" ".join(words[i % 3:] + [f"x{i}"]) for i in range(30)] + ["a b c"])
+    for name, find, kept in (("paragraphs", paragraphs.repeated_paragraphs, 1), ("passages", paragraphs.repeated_passages, 1),
+                             ("minhash", minhash.near_duplicates, 4)):
+        before = stored_tables(spark, name)
+        assert find(docs).count() > 0
+        assert len(stored_tables(spark, name) - before) <= kept
+
+
+def test_windows_of_one_anchor_are_one_row():
+    texts = [" ".join(f"w{i}" for i in range(300)), "a b c", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([4, 5, 6]), pa.array(texts)], ["doc_id", "row", "text"])
+    found = [r for b in paragraphs._anchors([batch]) for r in b.to_pylist()]
+    asked = pa.RecordBatch.from_arrays([*batch.columns, pa.array([[r["at"] for r in found], [], []], pa.list_(pa.int32()))], [*batch.schema.names, "at"])
+    rows = [r for b in paragraphs._runs_at([asked]) for r in b.to_pylist()]
+    starts = [r["start"] + k for r in rows for k in range(len(r["h_a"]))]
+    assert starts == list(range(300 - paragraphs.RUN + 1)) and len(rows) == len(found) < len(starts) / 3
+    assert [r["anchor"] for r in rows] == [r["anchor"] for r in found]
+
+
 def test_near_duplicates_match_all_pairs(documents):
     texts = varied_texts()
     found = by_id(minhash.near_duplicates(documents(texts)), "n_shingles", "component_id", "kept")
