@@ -20,6 +20,9 @@ common set. So they are linked only if they share an outside value, or if both a
 enough for their sizes. Outside values are rare by their making, and an index of them (only the
 first ones in order, as many as a link needs) gives the pairs. Members of the second kind are
 linked to the member most like the common set, as far as they are, and so need no pairs.
+Where a set differs from the common one, by values it lacks or has besides, is marked in
+``MARKS`` words of bits. A bit that one member has and the other has not is a difference of
+its own, which bounds what two members can share; a pair is only made if that is enough.
 The choice of probes decides how many pairs are made, never which links are found.
 
 Sketches are off by more than ``MARGIN`` less than once in 200,000 pairs. What they leave is
@@ -42,7 +45,11 @@ from perkmill.llm.components import connected_components, grown_components
 from perkmill.llm.tables import Scratch
 
 WIDE = 8
-PROBES = 16
+PROBES = 32
+# Words of 64 bits that mark where a member differs from the common set.
+MARKS = 4
+MARK_COLUMNS = [f"mark_{word}" for word in range(MARKS)]
+COMPARED = ("id", "n", "inside", "differs", *MARK_COLUMNS, "c")
 # Bins of sizes for each doubling of the size.
 SIZE_BINS = 128
 # No caller asks for less similar sets than this, so sizes further apart need no comparison.
@@ -89,7 +96,7 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
         F.col("most.id").alias("a"), F.col("most.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
     components = grown_components(
         components, scratch.store(_verified(_alike(to_central, sketches, percent), texts, percent, shingle_words)), scratch)
-    two = _unlike(placed, components, central, percent)
+    two = _unlike(_known(placed, components, central), percent)
     met_again = _alike(one.unionByName(two), sketches, percent)
 
     of = lambda name: components.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
@@ -165,16 +172,21 @@ def _members(mixed: DataFrame) -> DataFrame:
 
 
 def _placed(members: DataFrame, texts: DataFrame, percent: int, shingle_words: int) -> DataFrame:
-    """``members`` with inside, like (their similarity to the common set) and first values outside of it."""
+    """``members`` with inside, like (their similarity to the common set), first values outside of it, and marks.
+
+    Values outside are in order of how many probes have them, so the first ones are rare.
+    ``differs`` is the number of values that a member lacks or has besides the common set.
+    """
     order = Window.partitionBy("group").orderBy(F.xxhash64("id"), "id")
     probes = members.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= PROBES).select("group", "id")
 
     def common(pdf: pd.DataFrame) -> pd.DataFrame:
         values, times = np.unique(np.concatenate(_sets(pa.array(pdf.text, pa.string()), shingle_words)), return_counts=True)
-        held = values[2 * times > len(pdf)]
-        return pd.DataFrame({"group": [pdf.group.iloc[0]], "common": [held.view(np.int64)]})
+        held, some = 2 * times > len(pdf), (2 * times <= len(pdf)) & (times > 1)
+        often = values[some][np.argsort(times[some], kind="stable")]
+        return pd.DataFrame({"group": [pdf.group.iloc[0]], "common": [values[held].view(np.int64)], "often": [often.view(np.int64)]})
 
-    shared = probes.join(texts, "id").groupBy("group").applyInPandas(common, "group long, common array<long>")
+    shared = probes.join(texts, "id").groupBy("group").applyInPandas(common, "group long, common array<long>, often array<long>")
 
     def place(batches):
         for batch in batches:
@@ -182,41 +194,77 @@ def _placed(members: DataFrame, texts: DataFrame, percent: int, shingle_words: i
                 continue
             table = batch.select(["group", "id", "n"])
             groups = table.column("group").to_numpy()
-            sets, rows = _sets(batch.column(batch.schema.get_field_index("text")), shingle_words), batch.column(batch.schema.get_field_index("common"))
-            inside, like, outside, held = [], [], [], None
+            sets = _sets(batch.column(batch.schema.get_field_index("text")), shingle_words)
+            rows, seldom = (batch.column(batch.schema.get_field_index(name)) for name in ("common", "often"))
+            inside, like, differs, marks, outside, held = [], [], [], [], [], None
             for k, x in enumerate(sets):
                 if held is None or groups[k] != groups[k - 1]:
-                    held = rows[k].values.to_numpy().view(np.uint64)
-                known = np.isin(x, held)
-                inside.append(int(known.sum()))
-                like.append(inside[-1] / max(len(x) + len(held) - inside[-1], 1))
+                    held, often = (r[k].values.to_numpy().view(np.uint64) for r in (rows, seldom))
+                    by_value = np.argsort(often)
+                new, lacks = np.setdiff1d(x, held, assume_unique=True), np.setdiff1d(held, x, assume_unique=True)
+                inside.append(len(x) - len(new))
+                like.append(inside[-1] / max(len(x) + len(lacks), 1))
+                differs.append(len(lacks) + len(new))
+                marks.append(_marks(np.concatenate([lacks, new])))
                 needed = max(1, -(-percent * len(x) // 100) - inside[-1])
-                new = np.sort(x[~known].view(np.int64))
-                outside.append(new[:max(len(new) - needed + 1, 0)])
-            table = table.append_column("inside", pa.array(inside, pa.int64())).append_column("like", pa.array(like, pa.float64()))
+                rank = np.zeros(len(new), dtype=np.int64)
+                if len(often):
+                    at = by_value[np.minimum(np.searchsorted(often, new, sorter=by_value), len(often) - 1)]
+                    rank = np.where(often[at] == new, at + 1, 0)
+                outside.append(new[np.lexsort((new, rank))][:max(len(new) - needed + 1, 0)].view(np.int64))
+            for name, column in (("inside", inside), ("like", like), ("differs", differs)):
+                table = table.append_column(name, pa.array(column, pa.float64() if name == "like" else pa.int64()))
+            for word, column in enumerate(np.array(marks).T):
+                table = table.append_column(f"mark_{word}", pa.array(np.ascontiguousarray(column).view(np.int64)))
             yield table.append_column("outside", pa.array(outside, pa.list_(pa.int64())))
 
+    marked = ", ".join(f"{name} long" for name in MARK_COLUMNS)
     return members.join(texts, "id").join(shared, "group").mapInArrow(
-        place, "group long, id long, n long, inside long, like double, outside array<long>")
+        place, f"group long, id long, n long, inside long, like double, differs long, {marked}, outside array<long>")
 
 
-def _unlike(placed: DataFrame, components: DataFrame, central: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a group, of different components, that may be linked."""
+def _marks(values: np.ndarray) -> np.ndarray:
+    """``MARKS`` words with the bits that ``values`` hash to."""
+    bit = wordhash.mix(values) % np.uint64(64 * MARKS)
+    words = np.zeros(MARKS, dtype=np.uint64)
+    np.bitwise_or.at(words, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return words
+
+
+def _may_share_enough(percent: int) -> Column:
+    """Whether two members of a group, one with names in _x, can have all they need in common.
+
+    What two sets share is what both have of the common set and outside of it. With d values in
+    which both differ from the common set of c values, that is d + inside + inside_x - c.
+    """
+    both = F.least(*[
+        F.col(f"differs{a}") - sum(F.bit_count(F.col(f"{m}{a}").bitwiseAND(F.bitwise_not(f"{m}{b}"))) for m in MARK_COLUMNS)
+        for a, b in (("", "_x"), ("_x", ""))])
+    common = F.col("differs") - F.col("n") + 2 * F.col("inside")
+    return (100 + percent) * (both + F.col("inside") + F.col("inside_x") - common) >= percent * (F.col("n") + F.col("n_x"))
+
+
+def _known(placed: DataFrame, components: DataFrame, central: DataFrame) -> DataFrame:
+    """``placed`` with the component of each member (c), and whether it is apart from the group's central member."""
     core = central.select("group", F.col("most.id").alias("id")).join(components, "id", "left").select(
         "group", F.coalesce("component", "id").alias("core"))
-    known = placed.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).join(core, "group").select(
-        "group", "id", "n", "inside", "outside", "c", (F.col("c") != F.col("core")).alias("apart"))
-    x = known.where("apart").select("group", *[F.col(k).alias(f"{k}_x") for k in ("id", "n", "inside", "outside", "c")])
-    differ = (F.col("c_x") != F.col("c")) & _size_fits(percent, "n_x", "n")
+    return placed.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).join(core, "group").select(
+        "group", *COMPARED, "outside", (F.col("c") != F.col("core")).alias("apart"))
+
+
+def _unlike(known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a group, of different components, that may be linked."""
+    x = known.where("apart").select("group", *[F.col(k).alias(f"{k}_x") for k in (*COMPARED, "outside")])
+    differ = (F.col("c_x") != F.col("c")) & _size_fits(percent, "n_x", "n") & _may_share_enough(percent)
     new = x.select("*", F.explode("outside_x").alias("value")).drop("outside_x").join(
-        known.select("group", "id", "n", "c", F.explode("outside").alias("value")), ["group", "value"]).where(differ)
+        known.select("group", *COMPARED, F.explode("outside").alias("value")), ["group", "value"]).where(differ)
 
     size_bin = lambda n: F.floor(F.log2(n) * SIZE_BINS)
     least = F.greatest(F.col("n_x") * percent / 100, F.lit(1.0))
     most = F.col("inside_x") * (100 + percent) / percent - F.col("n_x")
     deep = x.where(most >= least).select(
         "*", F.explode(F.sequence(size_bin(least) - 1, size_bin(most) + 1)).alias("bin")).drop("outside_x").join(
-        known.where(100 * F.col("inside") >= percent * F.col("n")).select("group", "id", "n", "inside", "c", size_bin(F.col("n")).alias("bin")),
+        known.where(100 * F.col("inside") >= percent * F.col("n")).select("group", *COMPARED, size_bin(F.col("n")).alias("bin")),
         ["group", "bin"]).where(differ & (
             (100 + percent) * F.least("inside", "inside_x") >= percent * (F.col("n") + F.col("n_x"))))
     smaller = F.col("id_x") < F.col("id")

@@ -91,14 +91,17 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
     text = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # A place in the text names a paragraph only if ids are unique, so rows get numbers as well.
-    features = scratch.store(text.mapInArrow(
+    wide = scratch.store(text.mapInArrow(
         _features(min_words), "doc_id long, paragraph long, n_words long, n long, sum_a long, sum_b long, bands array<long>, sketch binary")
         .withColumn("pid", F.monotonically_increasing_id()))
 
     set_key = ["n", "sum_a", "sum_b"]
-    classes = scratch.store(features.groupBy(*set_key).agg(F.min("pid").alias("id"), F.count(F.lit(1)).alias("copies")))
-    banded = scratch.store(features.join(classes.select(F.col("id").alias("pid")), "pid", "left_semi").select(
+    classes = scratch.store(wide.groupBy(*set_key).agg(F.min("pid").alias("id"), F.count(F.lit(1)).alias("copies")))
+    banded = scratch.store(wide.join(classes.select(F.col("id").alias("pid")), "pid", "left_semi").select(
         F.col("pid").alias("id"), "n", "bands", "sketch"))
+    # Bands and sketches are most of the rows and are needed once for each class only.
+    features = scratch.store(wide.drop("bands", "sketch"))
+    scratch.drop(wide)
 
     def texts_of(ids: DataFrame) -> DataFrame:
         asked = features.select("pid", "doc_id", "paragraph", "sum_a", "sum_b").join(ids.withColumnRenamed("id", "pid"), "pid")

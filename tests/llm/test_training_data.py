@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from perkmill.llm import bpe, decontaminate, language, minhash, paragraphs, quality, quotes, surrogates, toxicity, vectors, wordhash
+from perkmill.llm import banding, bpe, decontaminate, language, minhash, paragraphs, quality, quotes, surrogates, toxicity, vectors, wordhash
 from perkmill.llm.components import connected_components, grown_components
 from perkmill.llm.tables import Scratch
 from perkmill.session import shared_folder
@@ -182,6 +182,29 @@ def test_near_duplicates_of_a_spread_group(documents):
     assert {i: c for i, (c,) in found.items()} == expected
 
 
+def test_pairs_of_a_group_can_have_enough_in_common(spark):
+    draw = random.Random(5)
+    base = [f"w{k}" for k in range(90)]
+
+    def changed(words, n):
+        places = set(draw.sample(range(len(words)), n))
+        return [f"x{draw.randrange(10**9)}" if k in places else w for k, w in enumerate(words)]
+
+    # Members that lack the same words are alike, as are those that only lack words at the end.
+    kin = changed(base, 5)
+    texts = [" ".join(changed(base, draw.randrange(3, 9))) for _ in range(70)] + [" ".join(changed(kin, 1)) for _ in range(5)] + [
+        " ".join(base[:n]) for n in (70, 74, 78, 82)]
+    sets = [shingle_set(t) for t in texts]
+    linked = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    placed = banding._placed(
+        spark.createDataFrame([(1, i, len(x)) for i, x in enumerate(sets)], "group long, id long, n long"),
+        spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 80, 5)
+    known = placed.selectExpr("*", "id as c", "true as apart")
+    found = {(r.a, r.b) for r in banding._unlike(known, 80).collect()}
+    assert linked and linked <= found
+    assert len(found) <= 3 * len(linked)
+
+
 def test_near_duplicates_on_odd_rows(odd, nothing):
     rows = [tuple(r) for r in minhash.near_duplicates(odd).collect()]
     assert len(rows) == odd.count()
@@ -213,6 +236,22 @@ def test_paragraphs_match_all_pairs(documents):
     assert found == {k: (*first[k], first[k] != k) for k in sets if size[k] > 1}
 
 
+def test_paragraphs_keep_bands_once_for_each_class(spark, documents, monkeypatch):
+    before, seen = stored_tables(spark, "paragraphs"), []
+
+    def counted(banded, texts_of, percent, shingle_words, scratch):
+        for path in stored_tables(spark, "paragraphs") - before:
+            table = spark.read.parquet(path)
+            seen.append(table.count() if "bands" in table.columns else 0)
+        return link(banded, texts_of, percent, shingle_words, scratch)
+
+    link = paragraphs.link_sets
+    monkeypatch.setattr(paragraphs, "link_sets", counted)
+    line = " ".join(f"w{k}" for k in range(40))
+    assert paragraphs.repeated_paragraphs(documents([line] * 9)).count() == 9
+    assert sum(seen) == 1
+
+
 def test_paragraphs_on_odd_rows(odd, nothing):
     assert paragraphs.repeated_paragraphs(odd).count() == 0
     assert paragraphs.repeated_paragraphs(nothing).count() == 0
