@@ -85,7 +85,8 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
         "key", "id", "n", "size", F.coalesce("component", "id").alias("component"))))
     scratch.drop(buckets)
     met = F.array_intersect("x_bands", "bands")
-    one = _apart(mixed.where(F.col("size") <= WIDE), banded, percent, F.get(met, F.lit(0)) == F.col("key"))
+    one = scratch.store(_alike(
+        _apart(mixed.where(F.col("size") <= WIDE), banded, percent, F.get(met, F.lit(0)) == F.col("key")), sketches, percent))
 
     members = scratch.store(_members(mixed.where(F.col("size") > WIDE)))
     others = scratch.store(texts_of(scratch.store(members.select("id").distinct().join(ends, "id", "left_anti"))))
@@ -96,8 +97,9 @@ def link_sets(banded: DataFrame, texts_of: Callable[[DataFrame], DataFrame], per
         F.col("most.id").alias("a"), F.col("most.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
     components = grown_components(
         components, scratch.store(_verified(_alike(to_central, sketches, percent), texts, percent, shingle_words)), scratch)
-    two = _unlike(_known(placed, components, central), percent)
-    met_again = _alike(one.unionByName(two), sketches, percent)
+    known = scratch.store(_known(placed, components, central))
+    two = scratch.store(_unlike(known, percent))
+    met_again = one.unionByName(_alike(two, sketches, percent))
 
     of = lambda name: components.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
     open_pairs = lambda pairs: (
