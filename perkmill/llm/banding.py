@@ -45,7 +45,7 @@ from perkmill.llm.components import connected_components, grown_components
 from perkmill.llm.tables import Scratch
 
 WIDE = 8
-PROBES = 32
+PROBES = 16
 # Words of 64 bits that mark where a member differs from the common set.
 MARKS = 4
 MARK_COLUMNS = [f"mark_{word}" for word in range(MARKS)]
