@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from perkmill.functions.rules import holds
+from perkmill.functions.rules import any_of, holds
 
 AUDIT = "audit"
 
@@ -71,11 +71,18 @@ def tagged_failures(df: DataFrame, audits: Sequence[Audit]) -> DataFrame:
 
     All rules are tested in one pass over ``df``; a row that breaks none leaves it at once.
     Only for audits that look at rows one by one.
+
+    Spark interprets what an explode is given, row by row. The tests are columns of their own
+    below it, so they are compiled, and only rows that break a rule reach it. As in
+    ``valid_rows``, the row number keeps the filter above the tests and the casts they need.
     """
     if AUDIT in df.columns:
         raise ValueError(f"{AUDIT} is the column that names the broken rule")
-    broken = F.array_compact(F.array(*[F.when(~holds(a.passes()), F.lit(a.name)) for a in audits]))
-    return df.withColumn(AUDIT, F.explode(broken))
+    once, tests = "__once", {f"__broken_{i}": ~holds(a.passes()) for i, a in enumerate(audits)}
+    tested = df.withColumns({once: F.monotonically_increasing_id(), **tests})
+    found = tested.filter(any_of(F.col(t) for t in tests) & (F.col(once) >= 0))
+    broken = F.array_compact(F.array(*[F.when(F.col(t), F.lit(a.name)) for t, a in zip(tests, audits)]))
+    return found.withColumn(AUDIT, F.explode(broken)).drop(once, *tests)
 
 
 def failure_counts(df: DataFrame, audits: list[Audit]) -> DataFrame:

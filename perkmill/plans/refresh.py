@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkmill.plans import marts, staging
@@ -63,6 +64,17 @@ def refresh(spark: SparkSession, raw: Mapping[str, DataFrame], root: str, regist
     tables queryable as ``marts.<name>`` and ``audit.<name>``.
     """
     staged = stage(raw)
+    # Two marts and the audits read the typed employees. They are typed once and kept on the
+    # executors' disks for the run; typed activities are so wide that keeping them takes
+    # longer than typing them again for the audits.
+    people = staged["stg_hr_employees"].persist(StorageLevel.DISK_ONLY)
+    try:
+        return _refresh(spark, staged, root, register)
+    finally:
+        people.unpersist()
+
+
+def _refresh(spark: SparkSession, staged: Mapping[str, DataFrame], root: str, register: bool) -> RefreshResult:
     people, parameters = staged["stg_hr_employees"], staged["config_benefit_parameters"]
     with Snapshot(spark, f"{root}/marts") as stored, Snapshot(spark, f"{root}/audit") as audit_tables:
         fact = stored.write(

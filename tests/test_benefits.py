@@ -227,3 +227,34 @@ def test_rows_tagged_by_broken_rules(spark):
     with pytest.raises(ValueError):
         tagged_failures(tagged, rules)
     assert tagged_failures(rows.limit(0), rules).count() == 0
+
+
+def test_employees_are_typed_once_in_a_run(spark, raw, tmp_path):
+    """Two marts and the audits share one pass; what is kept for them is released, also when a run fails."""
+    employees, read = raw["hr_employees_txt"], spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    inputs = {**raw, "hr_employees_txt": spark.createDataFrame(employees.rdd.map(counted), employees.schema)}
+    result = refresh.refresh(spark, inputs, str(tmp_path / "run"))
+    assert read.value == employees.count()
+    assert not refresh.stage(inputs)["stg_hr_employees"].is_cached
+    assert {r.name: r.failing_rows for r in result.audits}["stg_hr_employees_invalid_records"] == 1
+    failing = {**inputs, "google_routes_responses_txt": raw["google_routes_responses_txt"].withColumn(
+        "employee_id", F.raise_error(F.lit("unreadable")).cast("string"))}
+    with pytest.raises(Exception, match="unreadable"):
+        refresh.refresh(spark, failing, str(tmp_path / "failed"))
+    assert not refresh.stage(failing)["stg_hr_employees"].is_cached
+
+
+def test_rules_are_tested_below_the_explode(spark, raw):
+    """An explode is interpreted for every row it is given, so it is given tested rows that break a rule."""
+    for model in ("stg_hr_employees", "stg_sport_activities"):
+        rules = [a for a in refresh.ALL_AUDITS if a.relation == model and a.passes]
+        tagged = tagged_failures(refresh.stage(raw)[model], rules)
+        lines = tagged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        explode, below = next((line, lines[i + 1:]) for i, line in enumerate(lines) if "Generate explode" in line)
+        assert "RLIKE" not in explode and "regexp_extract" not in explode
+        assert any("Filter" in line and "RLIKE" not in line for line in below)

@@ -55,6 +55,22 @@ def test_numbers_that_are_not_kept(values):
     assert values(lost, lambda c: casting.keeps_number(c, AMOUNT)) == [False] * len(lost)
 
 
+def test_only_long_numbers_have_their_digits_counted(values):
+    """Digits at the edge of what fits, on both sides of the decimal point, with and without an exponent."""
+    most, decimals = AMOUNT.precision - AMOUNT.scale, AMOUNT.scale
+    kept = ["9" * most, "-" + "9" * most + "." + "1" * decimals, "0" * 40 + "1", "1." + "0" * 40, " .5 ", "5.", "", ".", "+", "x", None,
+            "1" + "0" * most + "e-1", "0e99", "." + "0" * decimals + "1e1"]
+    lost = ["1" + "0" * most, "+1" + "0" * most + ".5", "." + "0" * decimals + "1", "1e" + str(most), "1e-" + str(decimals + 1)]
+    assert values(kept + lost, lambda c: casting.keeps_number(c, AMOUNT)) == [True] * len(kept) + [False] * len(lost)
+
+
+def test_digits_are_counted_in_a_branch(spark):
+    """Spark works out what ``|`` mentions twice for every row, and a cast of no exponent is an exception each time."""
+    frame = spark.createDataFrame([("1",)], "t string").select(casting.keeps_number(F.col("t"), AMOUNT))
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert plan.index("CASE WHEN RLIKE") < plan.index("regexp_extract")
+
+
 def test_products_are_rounded_once(spark):
     cases = [("0.05", "0.0999999999999"), ("12345678901.1234567891", "0.00000000000001"), ("9999999999999999999999.9999999999", "3.5"),
              ("1e27", "0.00000000000001"), ("1e27", "1e9"), ("-2.5", "0.002"), ("0", "5"), ("100.1", "0.05"), ("0.0449999999", "0.11111111111111"),
